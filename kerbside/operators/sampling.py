@@ -4,22 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kerbside.functions import clock, rules
+from kerbside.functions import rules
 from kerbside.operators.silver import PICKUP
 from kerbside.session import broadcast_if_small
 
 SAMPLE_KEY = (PICKUP, "PULocationID", "DOLocationID")
 
 
-def rank_within_day(trips: DataFrame, *tie: str) -> DataFrame:
-    """Add ``sample_rank``: hash order of a trip within its pickup day.
+def rank_within_day(trips: DataFrame, *tie: str, key: tuple[str, ...] = SAMPLE_KEY) -> DataFrame:
+    """Add ``sample_rank``: hash order of ``key`` within the pickup day, then ``tie``.
 
-    The order key is a uniform hexadecimal digest, so its first two digits cut every day into 256
+    The order digest is uniform, so its first two hexadecimal digits cut every day into 256
     consecutive runs. Rows are ranked inside a run and shifted by the size of the day's earlier
     runs; a day holding most of the trips is thereby ranked by many tasks.
     """
     keyed = trips.filter(F.col(PICKUP).isNotNull()).withColumns(
-        {"_day": F.to_date(PICKUP), "_key": rules.stable_key(*SAMPLE_KEY, *tie)}
+        {"_day": F.to_date(PICKUP), "_key": rules.stable_key(*key)}
     )
     keyed = keyed.withColumn("_run", F.substring("_key", 1, 2))
     before = Window.partitionBy("_day").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
@@ -37,7 +37,9 @@ def rank_within_day(trips: DataFrame, *tie: str) -> DataFrame:
     )
 
 
-def stratified_sample(trips: DataFrame, rows: int = 10_000, *tie: str) -> DataFrame:
+def stratified_sample(
+    trips: DataFrame, rows: int = 10_000, *tie: str, key: tuple[str, ...] = SAMPLE_KEY
+) -> DataFrame:
     """``rows`` trips taken round-robin over the days.
 
     Each input partition first keeps its own ``rows`` best of every day, which bounds what any day
@@ -48,7 +50,7 @@ def stratified_sample(trips: DataFrame, rows: int = 10_000, *tie: str) -> DataFr
     keyed = trips.filter(F.col(PICKUP).isNotNull()).withColumns(
         {
             "_day": F.to_date(PICKUP),
-            "_key": rules.stable_key(*SAMPLE_KEY, *tie),
+            "_key": rules.stable_key(*key),
             "_part": F.spark_partition_id() % 256,
         }
     )

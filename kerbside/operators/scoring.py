@@ -84,7 +84,7 @@ def metric_rows(
     melted = [
         F.struct(
             F.lit(scope).alias("scope"),
-            _melt(errors.measures(F.col(truth), F.col(column), F.first("_threshold"))).alias("metrics"),
+            _melt(errors.measures(F.col(truth), F.col(column), F.col("_threshold"))).alias("metrics"),
         )
         for scope, column in predictions.items()
     ]
@@ -101,7 +101,7 @@ def overall_report(scored: DataFrame) -> DataFrame:
     """One row: candidate and baseline measures, bias, improvement and drift verdict."""
     high = high_demand_threshold(scored)
     truth, guess, base = F.col(COUNT), F.col(PREDICTED), F.col(BASELINE)
-    limit = F.first("_threshold")
+    limit = F.col("_threshold")
     candidate = errors.measures(truth, guess, limit)
     baseline = {f"baseline_{n}": c for n, c in errors.measures(truth, base, limit).items()}
     columns = {**candidate, "bias": errors.bias(truth, guess), **baseline}

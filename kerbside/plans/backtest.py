@@ -83,7 +83,7 @@ def fold_metrics(predictions: DataFrame, history: DataFrame) -> DataFrame:
     entries = []
     for name, (mask, column) in scopes.items():
         truth, guess = F.when(mask, F.col(COUNT)), F.when(mask, F.col(column))
-        measured = errors.measures(truth, guess, F.first("_threshold"))
+        measured = errors.measures(truth, guess, F.col("_threshold"))
         values = [
             F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"))
             for metric, value in measured.items()

@@ -177,7 +177,7 @@ def daily_scores(scored: DataFrame) -> DataFrame:
     limits = scored.groupBy("origin").agg(
         F.percentile(COUNT, F.lit(scoring.HIGH_DEMAND_QUANTILE)).alias("_threshold")
     )
-    limit = F.first("_threshold")
+    limit = F.col("_threshold")
     candidate = errors.measures(truth, F.col(PREDICTED), limit)
     baseline = errors.measures(truth, F.col(BASELINE), limit)
     daily = (
