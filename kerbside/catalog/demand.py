@@ -722,7 +722,14 @@ def release_decision(t: Tables) -> DataFrame:
 
 @query(
     "leakage_guard",
-    with_views("SELECT 'lag_168' AS rule, 0 AS violations UNION ALL SELECT 'short_history', 7 UNION ALL SELECT 'training_overlap', count(DISTINCT date_trunc('month', pickup_hour)) - 1 FROM daily", "daily"),
+    with_views(
+        """SELECT 'lag_168' AS rule, 0 AS violations
+        UNION ALL SELECT 'short_history', count(DISTINCT date_trunc('day', pickup_hour)) FROM demand
+          WHERE date_trunc('day', pickup_hour) - INTERVAL 168 HOUR < (SELECT min(pickup_hour) FROM demand)
+        UNION ALL SELECT 'training_overlap', count(DISTINCT date_trunc('month', pickup_hour)) - 1 FROM daily""",
+        "daily",
+        "demand",
+    ),
 )
 def leakage_guard(t: Tables) -> DataFrame:
     """Violations of three rules: wrong lags, too little history, training that reaches the test month."""
@@ -920,16 +927,16 @@ def _rank_sql(column: str) -> str:
         **_DAY_CTES,
         **_PROFILE_CTES,
         long=" UNION ALL ".join(
-            f"""SELECT '{f}' AS field, {f} AS value, (baseline_wape - candidate_wape) / nullif(baseline_wape, 0) AS improvement
+            f"""SELECT '{f}' AS field, round({f}, 9) AS value, round((baseline_wape - candidate_wape) / nullif(baseline_wape, 0), 9) AS improvement
             FROM prof JOIN outcome USING (day) WHERE baseline_wape <> 0 AND {f} IS NOT NULL"""
-            for f in ("previous_day_demand", "previous_week_same_day")
+            for f in _FIELDS
         ),
     ),
 )
 def spearman_association(t: Tables) -> DataFrame:
     outcome = loss_days.daily_outcome(day_scored(t))
     found = loss_days.spearman(loss_days.day_profile(t.daily), outcome)
-    return rounded(found.filter(F.col("field").isin("previous_day_demand", "previous_week_same_day")))
+    return rounded(found)
 
 
 _DRIFT = "SELECT day, candidate_wape < 0.25 AND abs(bias) < 0.1 AS drift_passed FROM outcome"

@@ -485,14 +485,7 @@ def trips_by_borough(t: Tables) -> DataFrame:
       round(median(earning), 6) AS median_earning FROM featured GROUP BY 1""",
 )
 def median_by_hour(t: Tables) -> DataFrame:
-    return rounded(
-        featured(t)
-        .groupBy("pickup_hour")
-        .agg(
-            F.median("earning_per_minute").alias("median_earning_per_minute"),
-            F.median("earning").alias("median_earning"),
-        )
-    )
+    return rounded(drivers.median_earnings(featured(t)))
 
 
 _COV = " UNION ALL ".join(

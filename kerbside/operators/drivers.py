@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside.functions import rules
+from kerbside.operators.quantiles import quantile_columns
 from kerbside.session import broadcast_if_small
 
 DRIVER, DAY = "hack_license", "pickup_date"
@@ -67,7 +68,7 @@ def top_drivers(trips: DataFrame, k: int = 50) -> DataFrame:
 
 
 def trips_of(trips: DataFrame, drivers: DataFrame) -> DataFrame:
-    return trips.join(broadcast_if_small(drivers.select(DRIVER)), DRIVER, "left_semi")
+    return trips.join(broadcast_if_small(drivers.select(DRIVER), store="driver-set"), DRIVER, "left_semi")
 
 
 def group_night_share(trips: DataFrame) -> DataFrame:
@@ -78,3 +79,17 @@ def group_night_share(trips: DataFrame) -> DataFrame:
         F.count(night).alias("trips"),
         F.try_divide(F.count_if(night == 1), F.count(night)).alias("night_share"),
     )
+
+
+def median_earnings(trips: DataFrame) -> DataFrame:
+    """Median earning and earning per minute by pickup hour."""
+    long = trips.filter(F.col("pickup_hour").isNotNull()).unpivot(
+        "pickup_hour", ["earning_per_minute", "earning"], "measure", "value"
+    )
+    medians = quantile_columns(long, "value", {"median": 0.5}, "pickup_hour", "measure")
+    return medians.groupBy("pickup_hour").agg(
+        *[
+            F.max(F.when(F.col("measure") == name, F.col("median"))).alias(f"median_{name}")
+            for name in ("earning_per_minute", "earning")
+        ]
+    )

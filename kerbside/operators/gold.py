@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside.functions import clock, rules
+from kerbside.operators.quantiles import quantile_columns, stacked_quantiles
 from kerbside.operators.silver import DROPOFF, PICKUP
 
 
@@ -110,32 +111,47 @@ def by_day_type(gold: DataFrame) -> DataFrame:
     )
 
 
-def _p95(column: str, exact: bool):
-    if exact:
-        return F.percentile(column, F.lit(0.95))
-    return F.approx_percentile(column, F.lit(0.95), F.lit(10_000))
-
-
-def _middle(exact: bool):
-    return F.median if exact else lambda c: F.approx_percentile(c, F.lit(0.5), F.lit(10_000))
-
-
 def fare_distribution(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Fare, distance and duration summary of fare-eligible rows.
 
-    Exact quantiles hold one counter per distinct value; ``exact=False`` bounds the state.
+    ``exact=False`` takes the quantiles from sketches, in a single pass.
     """
-    middle = _middle(exact)
-    return silver.filter("dq_valid_for_fare").agg(
+    eligible = silver.filter("dq_valid_for_fare").select(*DISTRIBUTED)
+    means = [
         F.count("*").alias("fare_eligible_rows"),
         F.avg("fare_amount").alias("mean_fare"),
-        middle("fare_amount").alias("median_fare"),
-        _p95("fare_amount", exact).alias("p95_fare"),
         F.avg("trip_distance").alias("mean_distance"),
-        middle("trip_distance").alias("median_distance"),
         (F.avg("derived_duration_seconds") / 60).alias("mean_duration_minutes"),
-        (middle("derived_duration_seconds") / 60).alias("median_duration_minutes"),
+    ]
+    if not exact:
+        return eligible.agg(
+            *means,
+            _sketched("fare_amount", 0.5).alias("median_fare"),
+            _sketched("fare_amount", 0.95).alias("p95_fare"),
+            _sketched("trip_distance", 0.5).alias("median_distance"),
+            (_sketched("derived_duration_seconds", 0.5) / 60).alias("median_duration_minutes"),
+        )
+    found = stacked_quantiles(eligible, DISTRIBUTED, {"middle": 0.5, "p95": 0.95})
+
+    def pick(column: str, name: str):
+        return F.max(F.when(F.col("column_name") == column, F.col(name)))
+
+    quantiles = found.agg(
+        F.struct(
+            pick("fare_amount", "middle").alias("median_fare"),
+            pick("fare_amount", "p95").alias("p95_fare"),
+            pick("trip_distance", "middle").alias("median_distance"),
+            (pick("derived_duration_seconds", "middle") / 60).alias("median_duration_minutes"),
+        )
     )
+    return eligible.agg(*means).withColumn("_q", quantiles.scalar()).select("*", "_q.*").drop("_q")
+
+
+DISTRIBUTED = ("fare_amount", "trip_distance", "derived_duration_seconds")
+
+
+def _sketched(column: str, p: float):
+    return F.approx_percentile(column, F.lit(p), F.lit(10_000))
 
 
 def by_payment(silver: DataFrame) -> DataFrame:
@@ -148,13 +164,21 @@ def by_payment(silver: DataFrame) -> DataFrame:
 
 
 def by_distance_band(silver: DataFrame, exact: bool = True) -> DataFrame:
-    middle = _middle(exact)("fare_amount")
-    return (
-        silver.filter("dq_valid_for_fare")
-        .groupBy(rules.distance_band("trip_distance").alias("distance_miles"))
-        .agg(F.count("*").alias("trips"), middle.alias("median_fare"), _p95("fare_amount", exact).alias("p95_fare"))
-        .orderBy(rules.distance_band_rank("distance_miles"))
+    """Trips, median and 0.95 quantile of the fare per distance band, in band order."""
+    banded = silver.filter("dq_valid_for_fare").select(
+        rules.distance_band("trip_distance").alias("distance_miles"), "fare_amount"
     )
+    if exact:
+        counts = banded.groupBy("distance_miles").agg(F.count("*").alias("trips"))
+        fares = quantile_columns(banded, "fare_amount", {"median_fare": 0.5, "p95_fare": 0.95}, "distance_miles")
+        bands = counts.join(fares, "distance_miles", "left")
+    else:
+        bands = banded.groupBy("distance_miles").agg(
+            F.count("*").alias("trips"),
+            _sketched("fare_amount", 0.5).alias("median_fare"),
+            _sketched("fare_amount", 0.95).alias("p95_fare"),
+        )
+    return bands.orderBy(rules.distance_band_rank("distance_miles"))
 
 
 # Flags shown in the descriptive report.

@@ -129,6 +129,8 @@ def spearman(profile: DataFrame, outcome: DataFrame) -> DataFrame:
         tied = Window.partitionBy("field", column)
         return F.rank().over(ordered) + (F.count("*").over(tied) - 1) / 2
 
+    # Values that differ only by floating-point noise share a rank.
+    pairs = pairs.withColumns({c: F.round(c, 9) for c in ("value", "improvement")})
     ranked = pairs.withColumns({"_x": average_rank("value"), "_y": average_rank("improvement")})
     return ranked.groupBy("field").agg(F.count("*").alias("days"), F.corr("_x", "_y").alias("rho"))
 

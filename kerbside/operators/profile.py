@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kerbside.operators.quantiles import quantile_columns, stacked_quantiles
+from kerbside.session import broadcast_if_small
+
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row per column with its number of NULLs, from one pass."""
@@ -39,14 +44,7 @@ def distinct_profile(df: DataFrame, *columns: str, approximate: bool = False) ->
 
 def describe(df: DataFrame, *columns: str, digits: int = 2) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    measures = {
-        "count": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": F.min,
-        "quartiles": lambda c: F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))),
-        "max": F.max,
-    }
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     structs = [
         F.struct(
             F.lit(column).alias("column_name"),
@@ -54,19 +52,11 @@ def describe(df: DataFrame, *columns: str, digits: int = 2) -> DataFrame:
         )
         for column in columns
     ]
-    rows = df.agg(F.array(*structs).alias("rows")).select(F.inline("rows"))
-    rounded = {
-        "mean": F.col("mean"),
-        "std": F.col("std"),
-        "min": F.col("min"),
-        "q25": F.col("quartiles")[0],
-        "q50": F.col("quartiles")[1],
-        "q75": F.col("quartiles")[2],
-        "max": F.col("max"),
-    }
-    return rows.select(
-        "column_name", "count", *[F.round(value, digits).alias(name) for name, value in rounded.items()]
-    )
+    moments = df.agg(F.array(*structs).alias("rows")).select(F.inline("rows"))
+    quartiles = stacked_quantiles(df, columns, QUARTILES)
+    described = moments.join(quartiles, "column_name", "left")
+    numbers = ("mean", "std", "min", *QUARTILES, "max")
+    return described.select("column_name", "count", *[F.round(n, digits).alias(n) for n in numbers])
 
 
 def min_max(df: DataFrame, *columns: str) -> DataFrame:
@@ -101,30 +91,22 @@ def covariance(df: DataFrame, x: Column, y: Column) -> DataFrame:
 
 
 def box_stats(df: DataFrame, column: str, *by: str) -> DataFrame:
-    """Quartiles, whisker fences at 1.5 interquartile ranges and rows outside them."""
-    quartiles = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    spread = df.groupBy(*by).agg(quartiles.alias("q"))
-    reach = 1.5 * (F.col("q")[2] - F.col("q")[0])
-    fences = spread.select(
-        *by,
-        F.col("q")[0].alias("q25"),
-        F.col("q")[1].alias("q50"),
-        F.col("q")[2].alias("q75"),
-        (F.col("q")[0] - reach).alias("lower_fence"),
-        (F.col("q")[2] + reach).alias("upper_fence"),
+    """Quartiles, whisker fences at 1.5 interquartile ranges and rows outside them, per group."""
+    reach = 1.5 * (F.col("q75") - F.col("q25"))
+    fences = quantile_columns(df, column, QUARTILES, *by).withColumns(
+        {"lower_fence": F.col("q25") - reach, "upper_fence": F.col("q75") + reach}
     )
-    names = ("q25", "q50", "q75", "lower_fence", "upper_fence")
+    fences = broadcast_if_small(fences, store="box-fences")
+    names = (*QUARTILES, "lower_fence", "upper_fence")
+    value = F.col(column)
+    outside = [
+        F.count_if(value < F.col("lower_fence")).alias("below"),
+        F.count_if(value > F.col("upper_fence")).alias("above"),
+    ]
     if by:
-        joined = df.join(fences, list(by))
-        low, high = F.col("lower_fence"), F.col("upper_fence")
-        return joined.groupBy(*by, *names).agg(
-            F.count_if(F.col(column) < low).alias("below"), F.count_if(F.col(column) > high).alias("above")
-        )
-    low, high = (fences.select(name).scalar() for name in ("lower_fence", "upper_fence"))
-    counted = df.agg(
-        F.count_if(F.col(column) < low).alias("below"), F.count_if(F.col(column) > high).alias("above")
-    )
-    return counted.select(*[fences.select(n).scalar().alias(n) for n in names], "below", "above")
+        return df.select(*by, column).join(fences, list(by)).groupBy(*by, *names).agg(*outside)
+    known = fences.select(F.struct(*names).alias("_f")).scalar()
+    return df.select(column, known.alias("_f")).select(column, "_f.*").groupBy(*names).agg(*outside)
 
 
 def histogram(

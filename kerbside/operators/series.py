@@ -181,7 +181,7 @@ def split_roles(frame: DataFrame) -> DataFrame:
     ranked = months.withColumn("_rank", F.dense_rank().over(order))
     role = F.when(F.col("_rank") == 1, "test").when(F.col("_rank") == 2, "validation").otherwise("train")
     roles = ranked.select("period", role.alias("split"))
-    return frame.withColumn("period", clock.month_label(HOUR)).join(broadcast_if_small(roles), "period")
+    return frame.withColumn("period", clock.month_label(HOUR)).join(broadcast_if_small(roles, store="split-roles"), "period")
 
 
 def time_split(frame: DataFrame) -> TimeSplit:

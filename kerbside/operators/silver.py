@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.observation import Observation
 
 from kerbside.functions import clock
-from kerbside.session import broadcast_if_small, stored
+from kerbside.session import broadcast_if_small
 from kerbside.sources.tables import require_zone_dimension
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
@@ -125,7 +125,7 @@ def duplicate_keys(trips: DataFrame, key: tuple[str, ...] = DUPLICATE_KEY) -> Da
     """
     hashed = trips.select(*key, F.xxhash64(*key).alias("_hash"))
     suspects = hashed.groupBy("_hash").count().filter("count > 1").select("_hash")
-    suspects = broadcast_if_small(stored(suspects, "suspect-hashes"))
+    suspects = broadcast_if_small(suspects, store="suspect-hashes")
     return (
         hashed.join(suspects, "_hash", "left_semi")
         .groupBy(*key)
@@ -137,14 +137,14 @@ def duplicate_keys(trips: DataFrame, key: tuple[str, ...] = DUPLICATE_KEY) -> Da
 
 def flag_duplicates(trips: DataFrame, key: tuple[str, ...] = DUPLICATE_KEY) -> DataFrame:
     """Add ``dq_candidate_duplicate`` without sending copies of a row through one window task."""
-    found = stored(duplicate_keys(trips, key), "duplicate-keys").select(
+    found = duplicate_keys(trips, key).select(
         *[F.col(column).alias(f"_dup_{column}") for column in key], F.lit(True).alias("_dup")
     )
     same = reduce(
         lambda a, b: a & b, [F.col(column).eqNullSafe(F.col(f"_dup_{column}")) for column in key]
     )
     return (
-        trips.join(broadcast_if_small(found), same, "left")
+        trips.join(broadcast_if_small(found, store="duplicate-keys"), same, "left")
         .withColumn("dq_candidate_duplicate", F.col("_dup").isNotNull())
         .drop("_dup", *[f"_dup_{column}" for column in key])
     )

@@ -97,7 +97,10 @@ class MoneyModels:
         return table.orderBy(F.desc("importance"), "feature")
 
     def grid_search(self, grid: dict[str, list] | None = None, folds: int = 5, rows: int = 500_000) -> DataFrame:
-        """Cross-validated RMSE of forests over a parameter grid, on a hash-ordered training subset."""
+        """Cross-validated RMSE of forests over a parameter grid.
+
+        Only the tuning uses a subset: about ``rows`` training rows, chosen by hash.
+        """
         forest = RandomForestRegressor(seed=SEED)
         grid = grid or {
             "featureSubsetStrategy": ["20", "25", "all"],
@@ -116,7 +119,8 @@ class MoneyModels:
             parallelism=4,
             seed=SEED,
         )
-        subset = sampling.head_slice(self.train, rows, self.train.columns[0])
+        share = min(1.0, rows / max(self.train.count(), 1))
+        subset = sampling.hash_share(self.train, self.train.columns[0], share)
         scores = search.fit(stored(subset, "grid-subset")).avgMetrics
         found = [
             (*[str(point[forest.getParam(name)]) for name in grid], float(score))

@@ -19,12 +19,17 @@ class ReleasePaths:
 
 
 def existing_periods(spark: SparkSession, root: str) -> DataFrame:
-    """Periods that have a partition below ``root``; none when the path does not exist."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], "period string")
-    found = spark.read.option("mergeSchema", True).parquet(root).select("year", "month").distinct()
-    return found.select(F.format_string("%04d-%02d", "year", "month").alias("period"))
+    """Periods that have a ``year=/month=`` folder below ``root``; a listing, not a scan."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/year=*/month=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    names = [status.getPath().toString() for status in found or []]
+    return spark.createDataFrame([(name,) for name in names], "path string").select(
+        F.format_string(
+            "%04d-%02d",
+            F.regexp_extract("path", r"year=(\d+)", 1).cast("int"),
+            F.regexp_extract("path", r"month=(\d+)", 1).cast("int"),
+        ).alias("period")
+    )
 
 
 def build_silver(spark: SparkSession, paths: ReleasePaths, zones: DataFrame, wanted: DataFrame, force: bool = False) -> int:

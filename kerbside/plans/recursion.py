@@ -17,6 +17,21 @@ from kerbside.session import cut_lineage, stored
 
 ROUNDS_PER_CHECKPOINT = 6
 
+# Calendar features carried per step ahead, with the time they belong to.
+CALENDAR_FIELDS = (
+    FORECAST_HOUR,
+    "hour",
+    "day_of_week",
+    "month",
+    "is_weekend",
+    "is_us_holiday",
+    "hour_sin",
+    "hour_cos",
+    "dow_sin",
+    "dow_cos",
+    *almanac.EVENT_COLUMNS,
+)
+
 
 def memory_steps(shape: SeriesShape) -> int:
     return max(*shape.lags, *shape.windows)
@@ -51,10 +66,23 @@ def zone_histories(demand: DataFrame, origins: Column, shape: SeriesShape = seri
     )
 
 
-def step_features(state: DataFrame, shape: SeriesShape) -> DataFrame:
-    """Model features of the step at ``forecast_hour`` from the history array."""
-    at, past = F.col(FORECAST_HOUR), F.col("history")
-    columns = {**almanac.calendar_columns(at), **almanac.event_columns(at)}
+def with_calendar(state: DataFrame, horizon: int, shape: SeriesShape = series.HOURLY) -> DataFrame:
+    """Add the calendar of every step ahead as one array, so that rounds only look it up."""
+    step = F.expr(f"INTERVAL {shape.step}")
+
+    def entry(at: Column) -> Column:
+        columns = {**almanac.calendar_columns(at), **almanac.event_columns(at)}
+        return F.struct(at.alias(FORECAST_HOUR), *[value.alias(name) for name, value in columns.items()])
+
+    times = F.sequence(F.col("origin"), F.col("origin") + step * F.lit(horizon - 1), step)
+    return state.withColumn("calendar", F.transform(times, entry))
+
+
+def step_features(state: DataFrame, shape: SeriesShape, ahead: int) -> DataFrame:
+    """Model features of the step ``ahead`` from the history and calendar arrays."""
+    past = F.col("history")
+    today = F.element_at("calendar", ahead)
+    columns = {name: today[name] for name in CALENDAR_FIELDS}
     columns["is_airport_zone"] = F.col(ZONE).isin(*shape.airports).cast("int")
     columns.update({name: F.lit(0.0) for name in series.WEATHER})
     columns["weather_missing"] = F.lit(1)
@@ -68,9 +96,7 @@ def step_features(state: DataFrame, shape: SeriesShape) -> DataFrame:
 def advance(state: DataFrame, model: RoutedModel, shape: SeriesShape, ahead: int) -> DataFrame:
     """One round: forecast the next step of every row and append it to the history."""
     steps = memory_steps(shape)
-    at = F.col("origin") + F.expr(f"INTERVAL {shape.step}") * F.lit(ahead - 1)
-    featured = step_features(state.withColumn(FORECAST_HOUR, at), shape)
-    predicted = model.predict(featured, PREDICTED)
+    predicted = model.predict(step_features(state, shape, ahead), PREDICTED)
     entry = F.struct(
         F.lit(ahead).alias("horizon_hour"),
         F.col(FORECAST_HOUR),
@@ -83,6 +109,7 @@ def advance(state: DataFrame, model: RoutedModel, shape: SeriesShape, ahead: int
     return predicted.select(
         ZONE,
         "origin",
+        "calendar",
         F.slice(F.concat("history", F.array(PREDICTED)), -steps, steps).alias("history"),
         F.concat("path", F.array(entry)).alias("path") if "path" in state.columns else F.array(entry).alias("path"),
     )
@@ -96,7 +123,7 @@ def recursive_forecast(
     shape: SeriesShape = series.HOURLY,
 ) -> DataFrame:
     """Forecast ``horizon`` steps from every origin, feeding predictions back as history."""
-    state = cut_lineage(zone_histories(demand, origins, shape))
+    state = cut_lineage(with_calendar(zone_histories(demand, origins, shape), horizon, shape))
     for ahead in range(1, horizon + 1):
         state = advance(state, model, shape, ahead)
         if ahead % ROUNDS_PER_CHECKPOINT == 0 or ahead == horizon:

@@ -76,11 +76,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, store: str | None = None
+) -> DataFrame:
     """Broadcast hint only when the row count is proven to be within ``limit``.
 
     The count stops at ``limit + 1`` rows. Beyond the limit the DataFrame is returned without a
-    hint: the join then shuffles and adaptive execution splits its skewed partitions.
+    hint: the join then shuffles and adaptive execution splits its skewed partitions. ``store``
+    names a table to write first, for an input that is costly to compute once for the count and
+    again for the join.
     """
+    if store:
+        df = stored(df, store)
     within = df.limit(limit + 1).count() <= limit
     return F.broadcast(df) if within else df
