@@ -20,7 +20,7 @@ def flagged(t: Tables) -> DataFrame:
 
 
 def product(t: Tables) -> DataFrame:
-    return gold.hourly_zone_demand(flagged(t))
+    return gold.hourly_zone_demand_from_trips(t.trips, t.zones)
 
 
 def _sql(columns: list[str]) -> str:

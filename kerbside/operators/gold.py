@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from kerbside.functions import clock, rules
 from kerbside.operators.quantiles import quantile_columns, stacked_quantiles
 from kerbside.operators.silver import DROPOFF, PICKUP
+from kerbside.session import broadcast_if_small
+from kerbside.sources.tables import require_zone_dimension
 
 
 def hourly_zone_demand(silver: DataFrame) -> DataFrame:
@@ -27,6 +29,36 @@ def hourly_zone_demand(silver: DataFrame) -> DataFrame:
     )
 
 
+def hourly_zone_demand_from_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """The same product straight from Bronze, counting before the dimension is joined.
+
+    Demand eligibility needs the pickup time and its zone only, so no other column is read, and the
+    join sees one row per zone and hour. A zone without trips or a trip without a known zone drops
+    out in the inner join, which relies on a unique zone key.
+    """
+    require_zone_dimension(zones)
+    pickup = F.col(PICKUP)
+    first = clock.month_start("year", "month")
+    after = F.add_months(first.cast("date"), 1).cast("timestamp_ntz")
+    counted = (
+        trips.filter((pickup >= first) & (pickup < after))
+        .groupBy("PULocationID", clock.trunc("hour", pickup).alias("pickup_hour"))
+        .agg(F.count("*").alias("trip_count"))
+    )
+    known = zones.select(
+        F.col("LocationID").alias("PULocationID"),
+        F.col("Borough").alias("pickup_borough"),
+        F.col("Zone").alias("pickup_zone"),
+    )
+    return counted.join(broadcast_if_small(known), "PULocationID").select(
+        F.col("PULocationID").cast("int").alias("pickup_zone_id"),
+        "pickup_borough",
+        "pickup_zone",
+        "pickup_hour",
+        "trip_count",
+    )
+
+
 def hourly_demand_stats(trips: DataFrame) -> DataFrame:
     """Ungoverned zone-hour counts and averages for zones 1-265."""
     fare, distance = F.col("fare_amount"), F.col("trip_distance")
