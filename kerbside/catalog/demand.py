@@ -13,6 +13,7 @@ from kerbside.functions import almanac, clock, errors, rules
 from kerbside.operators import gates, loss_days, scoring, series
 from kerbside.operators.series import COUNT, HOUR, ZONE
 from kerbside.plans import backtest, recursion
+from kerbside.session import stored
 from kerbside.sources import tables
 
 
@@ -169,7 +170,7 @@ _WEATHER = """SELECT date_trunc('hour', ts) AS pickup_hour, max(value) / 20 AS t
 @query(
     "join_weather",
     _chain(
-        """SELECT g.pickup_zone_id, g.pickup_hour, round(coalesce(temperature_c, 0), 6) AS temperature_c,
+        """SELECT g.pickup_zone_id, g.pickup_hour, coalesce(temperature_c, 0) AS temperature_c,
         coalesce(precipitation_mm, 0) AS precipitation_mm, CASE WHEN temperature_c IS NULL THEN 1 ELSE 0 END AS weather_missing
         FROM grid g LEFT JOIN weather w USING (pickup_hour)""",
         "grid",
@@ -178,7 +179,7 @@ _WEATHER = """SELECT date_trunc('hour', ts) AS pickup_hour, max(value) / 20 AS t
 )
 def join_weather(t: Tables) -> DataFrame:
     joined = series.join_weather(series.time_grid(t.hourly), weather(t))
-    return rounded(joined.select(ZONE, HOUR, "temperature_c", "precipitation_mm", "weather_missing"))
+    return joined.select(ZONE, HOUR, "temperature_c", "precipitation_mm", "weather_missing")
 
 
 def _window_sql(lags, windows) -> str:
@@ -212,7 +213,7 @@ _ROLLED = ", ".join(f"round(rolling_mean_{n}, 6) AS rolling_mean_{n}" for n in s
     ),
 )
 def rolling_mean_features(t: Tables) -> DataFrame:
-    rolled = series.dense_series(t.hourly).withColumns(series.rolling_columns())
+    rolled = series.with_rolling(series.dense_series(t.hourly))
     return rounded(rolled.select(ZONE, HOUR, *series.HOURLY.rolling_columns))
 
 
@@ -222,7 +223,7 @@ _FEATURES = f"""SELECT h.pickup_zone_id, h.pickup_hour, h.trip_count, hour(h.pic
     {_HOLIDAY.format(at='h.pickup_hour')} AS is_us_holiday, e.event_code, e.is_event_window, e.is_event_eve, e.is_event_overnight,
     e.is_new_year_window, e.hours_to_major_event, e.hours_since_major_event,
     CASE WHEN h.pickup_zone_id IN (132, 138) THEN 1 ELSE 0 END AS is_airport_zone,
-    round(coalesce(w.temperature_c, 0), 6) AS temperature_c, coalesce(w.precipitation_mm, 0) AS precipitation_mm,
+    coalesce(w.temperature_c, 0) AS temperature_c, coalesce(w.precipitation_mm, 0) AS precipitation_mm,
     CASE WHEN w.temperature_c IS NULL THEN 1 ELSE 0 END AS weather_missing,
     round(sin(2 * pi() * hour(h.pickup_hour) / 24), 6) + 0e0 AS hour_sin, round(cos(2 * pi() * hour(h.pickup_hour) / 24), 6) + 0e0 AS hour_cos,
     round(sin(2 * pi() * (isodow(h.pickup_hour) - 1) / 7), 6) + 0e0 AS dow_sin,
@@ -246,7 +247,8 @@ _FEATURES = f"""SELECT h.pickup_zone_id, h.pickup_hour, h.trip_count, hour(h.pic
     ),
 )
 def feature_table(t: Tables) -> DataFrame:
-    return rounded(series.feature_table(t.hourly, weather(t)))
+    inexact = ("hour_sin", "hour_cos", "dow_sin", "dow_cos", *series.HOURLY.rolling_columns)
+    return rounded(series.feature_table(t.hourly, weather(t)), only=inexact)
 
 
 _DAY_HIST = f"SELECT *, {_window_sql(DAILY.lags, DAILY.windows)} FROM day_grid"
@@ -256,8 +258,11 @@ _ROLES = """SELECT period, CASE dense_rank() OVER (ORDER BY period DESC) WHEN 1
 
 
 def day_history(t: Tables) -> DataFrame:
-    """The daily series with its lags, warm-up rows dropped."""
-    return series.with_history(series.dense_series(t.daily, DAILY), DAILY).na.drop(subset=DAILY.lag_columns)
+    """The daily series with its lags, warm-up rows dropped; written once, read several times."""
+    if "day-history" not in t.kept:
+        history = series.with_history(series.dense_series(t.daily, DAILY), DAILY)
+        t.kept["day-history"] = stored(history.na.drop(subset=DAILY.lag_columns), "day-history")
+    return t.kept["day-history"]
 
 
 @query(

@@ -38,7 +38,7 @@ _FLAGS = [c for c in _COLUMNS if c.startswith("dq_")]
 
 def history(t: Tables) -> DataFrame:
     records = rank_feed.root_records(rank_documents(t), "historical")
-    return rank_history.normalize(records.filter(F.col("record").isNotNull()))
+    return rank_history.normalize(records.filter("position IS NOT NULL"))
 
 
 @query("history_normalize", with_views(_SILVER, "rank_rows"))

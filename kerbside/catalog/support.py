@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kerbside.session import scratch_path
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, only: tuple[str, ...] | None = None) -> DataFrame:
     """Round double columns: sums of doubles depend on their order in the last digits."""
     return df.select(
         *[
             (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
-            if f.dataType.simpleString() == "double"
+            if f.dataType.simpleString() == "double" and (only is None or f.name in only)
             else F.col(f.name)
             for f in df.schema
         ]

@@ -30,43 +30,49 @@ def normalize(records: DataFrame) -> DataFrame:
     def raw(key: str) -> Column:
         return F.col("record")[key]
 
-    kind = F.lower(F.coalesce(raw("class"), F.lit("none")))
-    passenger = kind == "passenger"
-    start, end = parsing.to_utc(raw("start_time")), parsing.to_utc(raw("end_time"))
-    texts = {name: parsing.missing_to_null(raw(key)) for name, key in MEASURES.items()}
+    # Parsed once here, read several times below.
+    parsed = records.select(
+        "source_file",
+        *[parsing.missing_to_null(raw(key)).alias(key) for key in ("rank_id", "tsn", "comments")],
+        parsing.to_number(raw("total_bays")).alias("total_bays"),
+        F.lower(F.coalesce(raw("class"), F.lit("none"))).alias("class"),
+        parsing.to_utc(raw("start_time")).alias("start_time_utc"),
+        parsing.to_utc(raw("end_time")).alias("end_time_utc"),
+        *[parsing.missing_to_null(raw(key)).alias(f"{name}_raw") for name, key in MEASURES.items()],
+        parsing.to_number(raw("average_wait")).alias("average_wait_seconds"),
+    )
+    passenger = F.col("class") == "passenger"
+    start, end = F.col("start_time_utc"), F.col("end_time_utc")
+    texts = {name: F.col(f"{name}_raw") for name in MEASURES}
     counts = {
         ("total_count" if name == "total" else f"{name}_count"): F.when(~passenger, parsing.to_number(text))
         for name, text in texts.items()
     }
     bands = {f"{name}_band": F.when(passenger, parsing.passenger_band(text)) for name, text in texts.items()}
+    typed = parsed.withColumns({**counts, **bands})
     seconds = clock.elapsed_seconds(start, end)
-    wait = parsing.to_number(raw("average_wait"))
-    return records.select(
-        parsing.missing_to_null(raw("rank_id")).alias("rank_id"),
-        parsing.missing_to_null(raw("tsn")).alias("tsn"),
-        parsing.missing_to_null(raw("comments")).alias("comments"),
-        parsing.to_number(raw("total_bays")).alias("total_bays"),
-        start.alias("start_time_utc"),
-        end.alias("end_time_utc"),
+    return typed.select(
+        "rank_id",
+        "tsn",
+        "comments",
+        "total_bays",
+        "start_time_utc",
+        "end_time_utc",
         clock.utc_to_local(start, LOCAL_ZONE).alias("start_time_sydney"),
         clock.utc_to_local(end, LOCAL_ZONE).alias("end_time_sydney"),
-        kind.alias("class"),
-        *[text.alias(f"{name}_raw") for name, text in texts.items()],
-        *[value.alias(name) for name, value in counts.items()],
-        *[value.alias(name) for name, value in bands.items()],
-        wait.alias("average_wait_seconds"),
+        "class",
+        *[f"{name}_raw" for name in MEASURES],
+        *counts,
+        *bands,
+        "average_wait_seconds",
         "source_file",
-        parsing.missing_to_null(raw("rank_id")).isNull().alias("dq_missing_rank_id"),
-        (~kind.isin(*CLASSES)).alias("dq_unknown_class"),
+        F.col("rank_id").isNull().alias("dq_missing_rank_id"),
+        (~F.col("class").isin(*CLASSES)).alias("dq_unknown_class"),
         (start.isNull() | end.isNull()).alias("dq_invalid_timestamp"),
         F.coalesce(seconds != INTERVAL_SECONDS, F.lit(True)).alias("dq_invalid_interval"),
-        (passenger & _any([parsing.passenger_band(t).isNull() for t in texts.values()])).alias(
-            "dq_invalid_passenger_band"
-        ),
-        (~passenger & _any([parsing.to_number(t).isNull() for t in texts.values()])).alias(
-            "dq_invalid_numeric_count"
-        ),
-        F.coalesce(wait < 0, F.lit(False)).alias("dq_negative_wait"),
+        (passenger & _any([F.col(band).isNull() for band in bands])).alias("dq_invalid_passenger_band"),
+        (~passenger & _any([F.col(count).isNull() for count in counts])).alias("dq_invalid_numeric_count"),
+        F.coalesce(F.col("average_wait_seconds") < 0, F.lit(False)).alias("dq_negative_wait"),
     )
 
 

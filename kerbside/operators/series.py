@@ -129,25 +129,36 @@ def join_weather(series: DataFrame, weather: DataFrame | None = None) -> DataFra
     )
 
 
+def _zone_order():
+    return Window.partitionBy(ZONE).orderBy(HOUR)
+
+
 def lag_columns(shape: SeriesShape = HOURLY) -> dict[str, Column]:
-    order = Window.partitionBy(ZONE).orderBy(HOUR)
-    return {f"lag_{n}": F.lag(COUNT, n).over(order) for n in shape.lags}
+    return {f"lag_{n}": F.lag(COUNT, n).over(_zone_order()) for n in shape.lags}
+
 
+def with_rolling(series: DataFrame, shape: SeriesShape = HOURLY) -> DataFrame:
+    """Mean of the preceding rows, current excluded, NULL until the window is full.
 
-def rolling_columns(shape: SeriesShape = HOURLY) -> dict[str, Column]:
-    """Mean of the preceding rows, current excluded, NULL until the window is full."""
-    order = Window.partitionBy(ZONE).orderBy(HOUR)
-    columns = {}
-    for n in shape.windows:
-        frame = order.rowsBetween(-n, -1)
-        full = F.count(COUNT).over(frame) == n
-        columns[f"rolling_mean_{n}"] = F.when(full, F.avg(COUNT).over(frame))
-    return columns
+    A window sum is the difference of two running totals, so its cost does not depend on its length.
+    """
+    order = _zone_order()
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    running = series.withColumns(
+        {"_before": F.coalesce(F.sum(COUNT).over(before), F.lit(0.0)), "_row": F.row_number().over(order)}
+    )
+    means = {
+        f"rolling_mean_{n}": F.when(
+            F.col("_row") > n, (F.col("_before") - F.lag("_before", n).over(order)) / F.lit(float(n))
+        )
+        for n in shape.windows
+    }
+    return running.withColumns(means).drop("_before", "_row")
 
 
 def with_history(series: DataFrame, shape: SeriesShape = HOURLY) -> DataFrame:
     """Lags and rolling means; all share one partitioning and one sort."""
-    return series.withColumns({**lag_columns(shape), **rolling_columns(shape)})
+    return with_rolling(series.withColumns(lag_columns(shape)), shape)
 
 
 def feature_table(
