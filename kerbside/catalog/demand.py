@@ -753,7 +753,15 @@ def leakage_guard(t: Tables) -> DataFrame:
     )
 
 
-@query("required_columns_check")
+@query(
+    "required_columns_check",
+    with_views(
+        """SELECT 'demand' AS table_name, '' AS missing, count(*) AS rows FROM demand
+        UNION ALL SELECT 'events', 'pickup_hour, pickup_zone_id, trip_count', count(*) FROM events
+        UNION ALL SELECT 'lineitem', 'pickup_hour, pickup_zone_id, trip_count', count(*) FROM lineitem""",
+        "demand",
+    ),
+)
 def required_columns_check(t: Tables) -> DataFrame:
     """Columns the feature builder needs that each table lacks, with the table's row count."""
     frames = {"demand": t.demand, "events": t.base("events"), "lineitem": t.base("lineitem")}

@@ -12,6 +12,7 @@ from kerbside.catalog.tables import Tables, with_views
 from kerbside.functions import parsing, rules
 from kerbside.operators import drivers, legacy, profile, sampling
 from kerbside.operators.legacy import COORDINATES
+from kerbside.plans import money_models
 
 
 def _legacy(name: str, sql: str):
@@ -593,9 +594,7 @@ def head_slice(t: Tables) -> DataFrame:
     + " FROM featured",
 )
 def one_hot(t: Tables) -> DataFrame:
-    from kerbside.plans.money_models import WEEKDAYS
-
-    return profile.one_hot(featured(t).select("trip_id", "pickup_day_of_week"), "pickup_day_of_week", WEEKDAYS)
+    return profile.one_hot(featured(t).select("trip_id", "pickup_day_of_week"), "pickup_day_of_week", money_models.WEEKDAYS)
 
 
 _BUCKET = "CAST(('0x' || substr(md5(CAST(trip_id AS VARCHAR)), 1, 7)) AS BIGINT) % 100"
@@ -613,10 +612,8 @@ def hash_split(t: Tables) -> DataFrame:
     FROM legacy WHERE {_BUCKET} >= 70""",
 )
 def mean_baseline_rmse(t: Tables) -> DataFrame:
-    from kerbside.plans.money_models import mean_baseline_rmse as rmse
-
     train, test = sampling.hash_split(t.legacy, "trip_id")
-    return rounded(rmse(train, test, "fare_amount"))
+    return rounded(money_models.mean_baseline_rmse(train, test, "fare_amount"))
 
 
 # Rank-feed scalars.

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from kerbside.catalog.registry import query
 from kerbside.catalog.support import dates_as_text, rounded
 from kerbside.catalog.tables import Tables, with_views
-from kerbside.functions import clock
-from kerbside.operators import gates, gold, legacy, profile, sampling, silver
+from kerbside.functions import clock, rules
+from kerbside.operators import gates, gold, profile, sampling, silver
 
 FLAGS = list(silver.FLAG_COUNTS.values())
 ATTRIBUTES = [f"{end}_{part}" for end in ("pickup", "dropoff") for part in ("borough", "zone", "service_zone")]
@@ -306,7 +306,7 @@ def eda_distance_bands(t: Tables) -> DataFrame:
 def band_ordered(t: Tables) -> DataFrame:
     bands = gold.by_distance_band(flagged(t)).select("distance_miles", "trips")
     ordered = bands.agg(
-        F.array_sort(F.collect_list(F.struct(gold.rules.distance_band_rank("distance_miles").alias("rank"), "distance_miles", "trips"))).alias("b")
+        F.array_sort(F.collect_list(F.struct(rules.distance_band_rank("distance_miles").alias("rank"), "distance_miles", "trips"))).alias("b")
     )
     return ordered.select(F.posexplode("b").alias("place", "b")).select(
         "b.distance_miles", "b.trips", (F.col("place") + 1).cast("bigint").alias("place")

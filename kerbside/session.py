@@ -56,8 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for a table written between two stages of a job."""
-    return os.path.join(shared_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
+    """A fresh path for a table written between two stages of a job.
+
+    Tables of one application share a folder, which may be removed once the application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return os.path.join(shared_dir(spark), application, f"{label}-{uuid.uuid4().hex}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
