@@ -934,7 +934,7 @@ def _rank_sql(column: str) -> str:
 @query(
     "spearman_association",
     _chain(
-        f"""SELECT field, count(*) AS days, round(corr(x, y), 6) AS rho FROM
+        f"""SELECT field, count(*) AS days, CASE WHEN stddev_pop(x) * stddev_pop(y) > 0 THEN round(corr(x, y), 6) END AS rho FROM
         (SELECT field, {_rank_sql('value')} AS x, {_rank_sql('improvement')} AS y FROM long) GROUP BY 1""",
         "day_grid",
         **_DAY_CTES,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from kerbside.catalog.registry import query
 from kerbside.catalog.support import dates_as_text, rounded
 from kerbside.catalog.tables import Tables, with_views
-from kerbside.functions import parsing, rules
+from kerbside.functions import errors, parsing, rules
 from kerbside.operators import drivers, legacy, profile, sampling
 from kerbside.operators.legacy import COORDINATES
 from kerbside.plans import money_models
@@ -39,8 +39,8 @@ _DIFFER = "(pickup_longitude <> dropoff_longitude OR pickup_latitude <> dropoff_
 
 @_legacy(
     "clean_trips",
-    f"""SELECT trip_id, round({_SECONDS}, 6) AS trip_time_in_secs, round(trip_distance / ({_SECONDS} / 3600), 6) AS drive_speed_mph,
-      round(fare_amount / ({_SECONDS} / 60), 6) AS fare_amount_per_minute
+    f"""SELECT trip_id, {_SECONDS} AS trip_time_in_secs, trip_distance / ({_SECONDS} / 3600) AS drive_speed_mph,
+      fare_amount / ({_SECONDS} / 60) AS fare_amount_per_minute
     FROM legacy WHERE trip_distance > 0 AND {_SECONDS} > 0 AND fare_amount >= 0
       AND {_inside(legacy.CleaningLimits().box, "pickup")} AND {_inside(legacy.CleaningLimits().box, "dropoff")} AND {_DIFFER}
       AND trip_distance / ({_SECONDS} / 3600) <= 100 AND fare_amount / ({_SECONDS} / 60) <= 3""",
@@ -50,7 +50,7 @@ def clean_trips(t: Tables) -> DataFrame:
         {c: F.col(c).cast("string") for c in ("pickup_datetime", "dropoff_datetime", "fare_amount")}
     )
     cleaned = legacy.clean_trips(text)
-    return rounded(cleaned.select("trip_id", "trip_time_in_secs", "drive_speed_mph", "fare_amount_per_minute"))
+    return cleaned.select("trip_id", "trip_time_in_secs", "drive_speed_mph", "fare_amount_per_minute")
 
 
 _EARN = "(fare_amount + surcharge + tip_amount)"
@@ -526,8 +526,8 @@ def pearson_corr(t: Tables) -> DataFrame:
     ground = ~rules.touches_airport()
     return rounded(
         t.legacy.agg(
-            F.corr(fare, seconds).alias("all_trips"),
-            F.corr(F.when(ground, fare), F.when(ground, seconds)).alias("non_airport"),
+            errors.correlation(fare, seconds).alias("all_trips"),
+            errors.correlation(F.when(ground, fare), F.when(ground, seconds)).alias("non_airport"),
         )
     )
 

@@ -38,3 +38,10 @@ def measures(truth: Column, prediction: Column, threshold: Column) -> dict[str,
 def relative_improvement(base: Column, candidate: Column) -> Column:
     """(base - candidate) / base; NULL when the base is zero."""
     return F.try_divide(base - candidate, base)
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation of the rows where both are known; NULL when either does not vary."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

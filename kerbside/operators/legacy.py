@@ -82,8 +82,8 @@ def clean_trips(trips: DataFrame, limits: CleaningLimits = CleaningLimits()) ->
     )
     return (
         timed.filter(usable)
-        .withColumn("drive_speed_mph", F.col("trip_distance") / (F.col("trip_time_in_secs") / 3600))
-        .withColumn("fare_amount_per_minute", F.col("fare_amount") / (F.col("trip_time_in_secs") / 60))
+        .withColumn("drive_speed_mph", F.try_divide("trip_distance", F.col("trip_time_in_secs") / 3600))
+        .withColumn("fare_amount_per_minute", F.try_divide("fare_amount", F.col("trip_time_in_secs") / 60))
         .filter(
             (F.col("drive_speed_mph") <= limits.max_speed_mph)
             & (F.col("fare_amount_per_minute") <= limits.max_fare_per_minute)

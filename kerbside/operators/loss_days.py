@@ -132,7 +132,7 @@ def spearman(profile: DataFrame, outcome: DataFrame) -> DataFrame:
     # Values that differ only by floating-point noise share a rank.
     pairs = pairs.withColumns({c: F.round(c, 9) for c in ("value", "improvement")})
     ranked = pairs.withColumns({"_x": average_rank("value"), "_y": average_rank("improvement")})
-    return ranked.groupBy("field").agg(F.count("*").alias("days"), F.corr("_x", "_y").alias("rho"))
+    return ranked.groupBy("field").agg(F.count("*").alias("days"), errors.correlation(F.col("_x"), F.col("_y")).alias("rho"))
 
 
 def stability(outcome: DataFrame, drift: DataFrame, horizons: DataFrame) -> DataFrame:
