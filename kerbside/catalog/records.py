@@ -131,12 +131,12 @@ def airport_bbox_flags(t: Tables) -> DataFrame:
 
 @_legacy(
     "fare_per_mile_outlier",
-    """SELECT trip_id, round(fare_amount / nullif(trip_distance, 0), 6) AS fare_amount_per_mile, 0 AS is_outlier_fare_per_mile
+    """SELECT trip_id, fare_amount / nullif(trip_distance, 0) AS fare_amount_per_mile, 0 AS is_outlier_fare_per_mile
     FROM legacy WHERE NOT coalesce(fare_amount / nullif(trip_distance, 0) >= 30, FALSE)""",
 )
 def fare_per_mile_outlier(t: Tables) -> DataFrame:
     kept = legacy.with_fare_outlier(t.legacy).filter("is_outlier_fare_per_mile = 0")
-    return rounded(kept.select("trip_id", "fare_amount_per_mile", "is_outlier_fare_per_mile"))
+    return kept.select("trip_id", "fare_amount_per_mile", "is_outlier_fare_per_mile")
 
 
 def _borough_sql(end: str) -> str:
@@ -236,16 +236,16 @@ def point_density_grid(t: Tables) -> DataFrame:
     "add_trip_features",
     """SELECT trip_id, CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour, day(pickup_datetime) AS pickup_day,
       dayname(pickup_datetime) AS pickup_day_of_week, month(pickup_datetime) AS pickup_month, year(pickup_datetime) AS pickup_year,
-      isodow(pickup_datetime) >= 6 AS is_weekend, round(earning, 6) AS earning,
-      round(earning / nullif(trip_time_in_secs / 60e0, 0), 6) AS earning_per_minute,
-      round(earning / nullif(trip_distance, 0), 6) AS earning_per_mile FROM featured""",
+      isodow(pickup_datetime) >= 6 AS is_weekend, earning,
+      earning / nullif(trip_time_in_secs / 60e0, 0) AS earning_per_minute,
+      earning / nullif(trip_distance, 0) AS earning_per_mile FROM featured""",
 )
 def add_trip_features(t: Tables) -> DataFrame:
     added = featured(t).select(
         "trip_id", "pickup_date", "pickup_hour", "pickup_day", "pickup_day_of_week", "pickup_month", "pickup_year",
         "is_weekend", "earning", "earning_per_minute", "earning_per_mile",
     )
-    return rounded(dates_as_text(added))
+    return dates_as_text(added)
 
 
 @_legacy(

@@ -61,6 +61,7 @@ def join_zone_roles(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
     ``pickup_known`` / ``dropoff_known`` are NULL where no zone matched.
     """
+    zones = broadcast_if_small(zones)
     for role, key in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
         side = zones.select(
             F.col("LocationID").alias(key),
@@ -69,7 +70,7 @@ def join_zone_roles(trips: DataFrame, zones: DataFrame) -> DataFrame:
             F.col("service_zone").alias(f"{role}_service_zone"),
             F.lit(True).alias(f"{role}_known"),
         )
-        trips = trips.join(broadcast_if_small(side), key, "left")
+        trips = trips.join(side, key, "left")
     return trips
 
 
