@@ -9,8 +9,8 @@ from kerbside.catalog.records import featured
 from kerbside.catalog.registry import query
 from kerbside.catalog.support import rounded, written
 from kerbside.catalog.tables import Tables, with_views
-from kerbside.operators import drivers, legacy, sampling, series
-from kerbside.operators.series import COUNT, HOUR, ZONE
+from kerbside.operators import drivers, series
+from kerbside.operators.series import COUNT, HOUR
 from kerbside.plans import backtest, demand_models, driver_clusters, money_models, recursion
 from kerbside.session import scratch_path, stored
 from kerbside.streaming import hourly

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions import clock, errors
@@ -96,7 +94,7 @@ def forecast_checks(
         F.col("is_event_window") == 1 if "is_event_window" in forecast.columns else F.col("event_code") != 0
     )
     airport = F.col(ZONE).isin(*airports)
-    known = zones.select(F.col(ZONE)).distinct().withColumn("_known", F.lit(True))
+    known = zones.filter(F.col(ZONE).isNotNull()).select(ZONE).distinct().withColumn("_known", F.lit(True))
     per_pair = (
         forecast.join(known, ZONE, "left")
         .groupBy(ZONE, FORECAST_HOUR, "_known")
@@ -193,10 +191,6 @@ def release_checks(folds: DataFrame) -> DataFrame:
     return gains.agg(F.array(*rows).alias("checks")).select(F.inline("checks"))
 
 
-def all_passed(checks: DataFrame) -> Column:
-    return checks.agg(F.bool_and("passed")).scalar()
-
-
 def short_history(demand: DataFrame, origins: DataFrame, hours: int = 168) -> DataFrame:
     """Forecast origins with less than ``hours`` of history before them."""
     first = demand.agg(F.min(HOUR)).scalar()

@@ -76,10 +76,6 @@ def normalize(records: DataFrame) -> DataFrame:
     )
 
 
-def class_counts(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("class").agg(F.count("*").alias("rows"))
-
-
 def flag_counts(silver: DataFrame) -> DataFrame:
     flags = [c for c in silver.columns if c.startswith("dq_")]
     return silver.agg(*[F.count_if(F.col(f)).alias(f) for f in flags]).unpivot([], flags, "quality_flag", "rows")

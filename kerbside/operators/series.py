@@ -90,18 +90,10 @@ def dense_series(demand: DataFrame, shape: SeriesShape = HOURLY) -> DataFrame:
     )
 
 
-def calendar_of(times: DataFrame) -> DataFrame:
-    """Calendar and event features per distinct time of ``times``."""
-    at = F.col(HOUR)
-    return times.select(HOUR).distinct().select(
-        HOUR, *[c.alias(n) for n, c in {**almanac.calendar_columns(at), **almanac.event_columns(at)}.items()]
-    )
-
-
 def grid_calendar(demand: DataFrame, shape: SeriesShape = HOURLY) -> DataFrame:
-    """Calendar of every step between the first and last observed time; one row per step."""
-    at = clock.trunc(shape.unit, HOUR)
-    ends = demand.agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    """Calendar and events of every step between the first and last observed time, one row each."""
+    observed = clock.trunc(shape.unit, HOUR)
+    ends = demand.agg(F.min(observed).alias("first"), F.max(observed).alias("last"))
     steps = ends.select(F.explode(F.sequence("first", "last", F.expr(f"INTERVAL {shape.step}"))).alias(HOUR))
     at = F.col(HOUR)
     return steps.select(

@@ -22,7 +22,7 @@ FEEDS = {
     ),
 }
 
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

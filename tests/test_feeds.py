@@ -26,7 +26,7 @@ def documents(spark, tmp_path, payload, mark=""):
 
 
 def test_history_with_byte_order_mark(spark, tmp_path):
-    docs = documents(spark, tmp_path, {"rank_history": HISTORY}, "﻿")
+    docs = documents(spark, tmp_path, {"rank_history": HISTORY}, "\ufeff")
     records = rank_feed.require_records(rank_feed.root_records(docs, "historical"))
     table = rank_history.normalize(records)
     assert len(table.columns) == 27

@@ -63,3 +63,30 @@ def test_missing_money_counts_as_zero(rows):
 def test_null_profile(rows):
     got = {r.column_name: r.null_rows for r in profile.null_counts(rows("a int, b string", (1, None), (None, None))).collect()}
     assert got == {"a": 1, "b": 2}
+
+
+def test_removed_rows_explain_the_kept_ones(spark):
+    from conftest import SMALL
+
+    from kerbside.catalog.tables import Tables
+
+    trips = Tables(spark, SMALL).legacy
+    removed = legacy.validity_report(trips).agg(F.sum("removed_rows")).first()[0]
+    kept = legacy.apply_validity(trips).count()
+    assert 0 < kept < trips.count() and kept + removed == trips.count()
+
+
+def test_sketched_quantiles_are_close(spark):
+    from conftest import SMALL
+
+    from kerbside.catalog.tables import Tables
+    from kerbside.operators import gold, silver
+
+    t = Tables(spark, SMALL)
+    flagged = silver.with_flags(t.trips, t.zones)
+    exact, quick = (gold.fare_distribution(flagged, exact).first() for exact in (True, False))
+    assert exact.fare_eligible_rows == quick.fare_eligible_rows
+    assert quick.median_fare == pytest.approx(exact.median_fare, rel=0.05)
+    assert quick.p95_fare == pytest.approx(exact.p95_fare, rel=0.05)
+    bands = [r.distance_miles for r in gold.by_distance_band(flagged, exact=False).collect()]
+    assert bands == [r.distance_miles for r in gold.by_distance_band(flagged).collect()]
