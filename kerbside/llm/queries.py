@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, token_counts, url_filters
+from kerbside.llm import bpe, fingerprints, token_counts, topk, url_filters, warc
 from kerbside.llm.common import read
 from kerbside.llm.registry import query
 
@@ -63,3 +63,51 @@ def bpe_round_trip(spark, sf_dir):
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def _warc_sql() -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    groups = (f"CAST('0x' || substr(hex_digest, {1 + 5 * g}, 5) AS BIGINT)" for g in range(8))
+    digest = " || ".join(f"substr('{letters}', CAST(({v} >> {shift}) & 31 AS BIGINT) + 1, 1)" for v in groups for shift in (15, 10, 5, 0))
+    return f"""
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex_digest FROM pages),
+    kept AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS last_id FROM payloads)
+    SELECT page_id, strlen(payload) AS payload_bytes, {digest} AS payload_digest,
+      CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+    FROM kept"""
+
+
+@query("op3_warc_round_trip", _warc_sql())
+def warc_round_trip(spark, sf_dir):
+    """Every page written to archives and read back; payloads of any length may be revisited."""
+    manifest = warc.write_archives(warc.record_chunks(read(spark, sf_dir, "pages"), min_bytes=0))
+    last = warc.read_archives(manifest).where("last")
+    digest = F.when(F.col("record_type") == "response", F.col("digest_so_far")).otherwise(F.col("payload_digest"))
+    return last.select(
+        F.col("record_id").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+@query(
+    "op7_exact_top_k",
+    """
+    WITH fine AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM fine q JOIN fine c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+)
+def exact_top_k(spark, sf_dir):
+    """The five best vectors by integer inner product for every fiftieth vector."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query("op8_fingerprints")
+def document_fingerprints(spark, sf_dir):
+    """Every document's fingerprint beside those of its edit and of the next document."""
+    return fingerprints.compare_with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
