@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprints, token_counts, topk, url_filters, warc
+from kerbside.llm import bpe, fingerprints, language_id, token_counts, topk, toxicity, url_filters, warc
 from kerbside.llm.common import read
 from kerbside.llm.registry import query
 
@@ -111,3 +111,34 @@ def exact_top_k(spark, sf_dir):
 def document_fingerprints(spark, sf_dir):
     """Every document's fingerprint beside those of its edit and of the next document."""
     return fingerprints.compare_with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def fold(parts: int):
+    """The remainder that decides whether a document is held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def language_network(docs):
+    """The network for documents outside the held-out fold."""
+    return language_id.fit(docs.where(fold(4) != 2))
+
+
+def toxicity_model(docs, labels):
+    """The models for labels outside the held-out fold."""
+    return toxicity.fit(docs, labels.where(fold(5) != 0))
+
+
+@query("op4_language_id")
+def identified_languages(spark, sf_dir):
+    """The language of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = language_id.identify(docs.select("doc_id", "text"), language_network(docs))
+    return rows.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_toxicity")
+def toxicity_scores(spark, sf_dir):
+    """The toxicity of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = toxicity.score(docs, toxicity_model(docs, read(spark, sf_dir, "labels")))
+    return rows.select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
