@@ -200,8 +200,8 @@ def encode(
         worker = codec(path)
 
         def work(values):
-            ids = [worker.encode(v.decode(), leaf_bytes) for v in values]
-            return [to_bytes(i) for i in ids], [len(i) for i in ids]
+            ids = [to_bytes(worker.encode(v.decode(), leaf_bytes)) for v in values]
+            return ids, [len(i) // 4 for i in ids]
 
         return work
 

@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from kerbside.session import configure
+
 # Work on one slice of a batch at a time, so that a batch of long texts doesn't multiply in memory.
 SLICE_BYTES = 8 << 20
 
@@ -20,6 +22,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """The library's settings, and Arrow batches that stay small when texts are long."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def ship(spark: SparkSession) -> None:
     """Give every Python worker this package, once for each Spark application."""
     context = spark.sparkContext

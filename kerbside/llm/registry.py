@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.session import configure
+from kerbside.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +17,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(configure(spark), sf_dir)
+            return build(prepare(spark), sf_dir)
 
         run.__doc__ = build.__doc__
         QUERIES[name] = run
