@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from kerbside.llm.common import annotate, ship, utf8
+from kerbside.llm.common import annotate, utf8
 
 SAMPLE_ROWS = 2_000
+SAMPLE_CHARS = 4_096  # of each sampled text; counted texts are always whole
 TABLE_SIZE = 1 << 16  # frequent pre-tokens that travel to the tasks
 CACHE_SIZE = 400_000  # further pre-tokens that a worker remembers; beyond it the worker starts afresh
 
@@ -111,24 +112,10 @@ def unpack(table: tuple[bytes, bytes]) -> dict[str, int]:
 
 def frequent_lengths(docs: DataFrame, path: str, sample_rows: int, table_size: int, text: str = "text") -> dict[str, int]:
     """Lengths of the most frequent pre-tokens of a bounded sample, at most ``table_size`` (about 1 MB packed)."""
-    ship(docs.sparkSession)
-
-    def tally(batches):
-        import pyarrow as pa
-
-        worker, counts = counter(path, {}), Counter()
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                counts.update(worker.pre_tokens(value))
-        top = [(t, n) for t, n in counts.most_common(table_size) if len(t) <= 64]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([t for t, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["token", "n"]
-        )
-
-    sample = docs.select(utf8(text).cast("string").alias("text")).limit(sample_rows)
-    top = sample.mapInArrow(tally, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    tokens = [r.token for r in top.orderBy(F.desc("n"), "token").limit(table_size).collect()]
-    worker = PreTokenCounter(path, {})
+    worker, counts = PreTokenCounter(path, {}), Counter()
+    for row in docs.select(F.substring(utf8(text).cast("string"), 1, SAMPLE_CHARS).alias("text")).limit(sample_rows).collect():
+        counts.update(worker.pre_tokens(row.text))
+    tokens = [t for t, _ in sorted(counts.items(), key=lambda c: (-c[1], c[0])) if len(t) <= 64][:table_size]
     worker.learn(tokens)
     return {t: worker.lengths[t] for t in tokens if worker.lengths[t] < 256}
 
