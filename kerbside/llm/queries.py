@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprints, language_id, token_counts, topk, toxicity, url_filters, warc
+from kerbside.llm import bpe, fingerprints, jaccard, language_id, token_counts, topk, toxicity, url_filters, warc
 from kerbside.llm.common import read
 from kerbside.llm.registry import query
 
@@ -142,3 +142,9 @@ def toxicity_scores(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rows = toxicity.score(docs, toxicity_model(docs, read(spark, sf_dir, "labels")))
     return rows.select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op9_ngram_jaccard")
+def ngram_jaccard(spark, sf_dir):
+    """Every document's component of links at 0.85 over four-word shingles."""
+    return jaccard.similar_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
