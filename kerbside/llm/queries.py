@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprints, jaccard, language_id, token_counts, topk, toxicity, url_filters, warc
+from kerbside.llm import bpe, fingerprints, jaccard, language_id, mixing, token_counts, topk, toxicity, url_filters, warc
 from kerbside.llm.common import read
 from kerbside.llm.registry import query
 
@@ -148,3 +148,20 @@ def toxicity_scores(spark, sf_dir):
 def ngram_jaccard(spark, sf_dir):
     """Every document's component of links at 0.85 over four-word shingles."""
     return jaccard.similar_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# Production weights of tokens: twenty sources alike and a little for all others.
+MIX_TARGETS = {
+    "source": {f"src{i}": 0.0495 for i in range(20)} | {"other": 0.01},
+    "lang": {"en": 0.55, "fr": 0.14, "de": 0.14, "es": 0.14, "other": 0.03},
+    "topic": {"prose": 0.7, "tabular": 0.08, "contact": 0.08, "licensing": 0.06, "numeric": 0.08},
+}
+MIX_BUDGET = 0.5  # of all tokens
+
+
+@query("op10_source_mixing")
+def source_mixing(spark, sf_dir):
+    """Every document's cell, weight and probability, and whether the mix keeps it."""
+    mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), MIX_TARGETS, MIX_BUDGET)
+    names = ("source", "lang", "topic", "tokens", "weight", "probability", "draw", "kept")
+    return mixed.select("doc_id", *[F.col(f"mix_{n}").alias(n) for n in names])
