@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kerbside.llm.common import ship
 
 BLOCK = 16_384  # queries, or vectors, in a block at most (in the mean of a hash)
-STEP = 1_024  # vectors between two looks at the bounds
+PART = 1_024  # queries at a time within a block
+STEP = 512  # vectors between two looks at the bounds
 LEADING = 0.25  # share of coordinates in the partial sum
 _SLACK = 1e-9  # of |q| |v|, far above the rounding of a double sum
 _WHOLE = float(1 << 52)  # sums below this are exact in doubles
@@ -83,41 +84,53 @@ def distinct_ids(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def exact_scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products of the rows of q and v, pair by pair, as 64-bit integers."""
-    reach = np.abs(q).max(initial=0.0) * np.abs(v).max(initial=0.0) * q.shape[-1]
+    """Inner products of all rows of q with all rows of v, as 64-bit integers."""
+    reach = np.abs(q).max(initial=0.0) * np.abs(v).max(initial=0.0) * q.shape[1]
     if reach < _WHOLE:
-        return np.einsum("ij,ij->i", q, v).astype(np.int64)
-    sums = (sum(int(a) * int(b) for a, b in zip(x, y)) for x, y in zip(q, v))
-    return np.array([min(max(s, -(1 << 63)), (1 << 63) - 1) for s in sums], np.int64)
+        return (q @ v.T).astype(np.int64)
+    q, v = ([[int(x) for x in row] for row in m] for m in (q, v))
+    cut = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+    return np.array([[cut(sum(map(int.__mul__, x, y))) for y in v] for x in q], np.int64)
 
 
-def block_top_k(qid, q, vid, v, rotation, k: int, step: int = STEP):
-    """``(query row, vec_id, score)`` of the k best vectors of one block for each query."""
-    order = np.argsort(-np.einsum("ij,ij->i", v, v), kind="stable")
+def block_top_k(qid, q, vid, v, rotation, k: int):
+    """The k best scores and ids of one block of vectors for each query of a block, PART queries at a time."""
+    length = lambda m: np.sqrt(np.einsum("ij,ij->i", m, m))
+    order = np.argsort(-length(v), kind="stable")
     vid, v = vid[order], v[order]
     lead = max(1, int(q.shape[1] * LEADING))
-    qr, vr = q @ rotation, v @ rotation
-    length = lambda m: np.sqrt(np.einsum("ij,ij->i", m, m))
-    q_all, v_all, q_rest, v_rest = length(q), length(v), length(qr[:, lead:]), length(vr[:, lead:])
+    vr = v @ rotation
+    v_all, v_rest, vr = length(v), length(vr[:, lead:]), vr[:, :lead].copy()
+    best = []
+    for at in range(0, len(q), PART):
+        best += _part_top_k(qid[at : at + PART], q[at : at + PART], rotation, lead, vid, v, v_all, vr, v_rest, k)
+    return best
+
+
+def _part_top_k(qid, q, rotation, lead, vid, v, v_all, vr, v_rest, k):
+    qr = q @ rotation
+    q_all, q_rest, qr = np.sqrt((q * q).sum(1)), np.sqrt((qr[:, lead:] ** 2).sum(1)), qr[:, :lead]
     best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(len(q))]  # scores, ids
     least = np.full(len(q), -np.inf)
-    for at in range(0, len(v), step):
-        part = slice(at, at + step)
+    for at in range(0, len(v), STEP):
+        part = slice(at, at + STEP)
         slack = _SLACK * q_all * v_all[at] + 1e-6
-        open_ = np.flatnonzero(q_all * v_all[at] + slack >= least)
-        if not len(open_):
+        active = np.flatnonzero(q_all * v_all[at] + slack >= least)
+        if not len(active):
             break
-        bound = qr[open_, :lead] @ vr[part, :lead].T + np.outer(q_rest[open_], v_rest[part]) + slack[open_, None]
-        rows, columns = np.nonzero((bound >= least[open_, None]) & (qid[open_, None] != vid[None, part]))
+        bound = qr[active] @ vr[part].T + np.outer(q_rest[active], v_rest[part]) + slack[active, None]
+        may = (bound >= least[active, None]) & (qid[active, None] != vid[None, part])
+        rows, columns = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
         if not len(rows):
             continue
-        scores = exact_scores(q[open_[rows]], v[at + columns])
-        cuts = np.flatnonzero(np.diff(rows)) + 1
-        for r, s, c in zip(rows[np.append(0, cuts)], np.split(scores, cuts), np.split(columns, cuts)):
-            i = open_[r]
-            s, ids = np.append(best[i][0], s), np.append(best[i][1], vid[at + c])
-            top = np.lexsort((ids, -s))[:k]
-            best[i] = (s[top], ids[top])
+        scores = exact_scores(q[active[rows]], v[at + columns])
+        ids = vid[at + columns]
+        for r, row in zip(rows, scores):
+            i, use = active[r], may[r, columns]
+            use &= row >= least[i]
+            s, t = np.append(best[i][0], row[use]), np.append(best[i][1], ids[use])
+            top = np.lexsort((t, -s))[:k]
+            best[i] = (s[top], t[top])
             if len(top) == k:
                 least[i] = s[top[-1]]
     return best
