@@ -1,14 +1,15 @@
 """Toxicity by two class-conditional Kneser-Ney bigram models.
 
-Each class has its bigram counts; a bigram's probability is discounted and backs off to the class's continuation counts
-(how many different words a word follows), and these back off to the continuation counts of both classes together. The
-discount is large, so that an expression seen a few times only has the shared counts left in either class and says
-nothing, while one that many contexts of one class share says much.
+A class's probability of a word is its discounted continuation count (how many different words the word follows) and
+backs off to the continuation counts of both classes together. After a given word, what discounting leaves of the pairs
+(counted once a text) is split between the classes, drawn towards the split that both share, and interpolated with the
+probability of the word alone, with one backoff weight for both classes. So expressions that were seen a few times only
+have shared counts left in either class and say nothing, while one that many contexts of one class share says much.
 
 A text's features are length-normalised log-likelihood differences, toxic less ordinary: of the whole text, of its
 strongest pair of neighbouring words and of its strongest word. A logistic curve over them, fitted on labelled rows that
-the counts have not seen, gives the score. The models are fitted on at most ``rows_per_class`` labelled rows of either
-class (those with the smallest hashed ids, a documented bound); every text is scored whole.
+the counts have not seen, gives the score. The models are fitted on at most ``rows[y]`` labelled rows of class y (those
+with the smallest hashed ids, a documented bound); every text is scored whole.
 
 Defined results: null counts as the empty text, which gets the score of a text without evidence. An id with several
 labels is toxic if one of them says so; labels or ids that are null teach nothing. Equal texts are learnt from once. If
@@ -30,8 +31,10 @@ from pyspark.sql import DataFrame, functions as F
 from kerbside.llm.common import annotate, fresh, ship, utf8
 from kerbside.session import stored
 
-ROWS_PER_CLASS = 4_000
-DISCOUNT = 4.0
+TOXIC_ROWS, ORDINARY_ROWS = 4_000, 12_000
+DISCOUNT = 2.0  # of continuation counts
+PAIR_DISCOUNT = 8.0
+SHARED = 50.0  # texts' weight of the shared split of pairs
 CALIBRATION = 4  # every so many-th learnt row is kept for the logistic curve
 
 _WORDS = re.compile(r"\w+").findall
@@ -43,12 +46,11 @@ def words(text: bytes) -> list[str]:
 
 @dataclass
 class Model:
-    """Log-likelihood differences of known words, contexts and pairs, and the logistic curve."""
+    """Log-likelihood differences of known words and pairs, and the logistic curve."""
 
     constant: float | None = None  # the score of every text, where there is nothing to tell classes apart
     vocabulary: dict[str, int] = field(default_factory=dict)
     word: np.ndarray | None = None  # 0 is any unknown word
-    context: np.ndarray | None = None
     pair_keys: np.ndarray | None = None
     pair: np.ndarray | None = None
     weights: np.ndarray | None = None  # of the features, and the intercept
@@ -58,7 +60,7 @@ class Model:
         found = words(text)
         ids = np.fromiter(map(self.vocabulary.get, found, repeat(0)), np.int64, len(found))
         before = np.concatenate([[0], ids[:-1]]) if len(ids) else ids
-        out = self.word[ids] + self.context[before]
+        out = self.word[ids]
         if len(self.pair_keys) and len(ids):
             keys = before * len(self.word) + ids
             at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
@@ -79,18 +81,18 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, rows_per_class: int) -> DataFrame:
-    """``(text, toxic, learns)``: the labelled rows to learn from. At most twice ``rows_per_class`` ids are broadcast."""
+def _sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, rows: tuple[int, int]) -> DataFrame:
+    """``(text, toxic, learns)``: the labelled rows to learn from. The ids that are broadcast are bounded."""
     known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic"))
     known = known.where("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    drawn = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(rows_per_class) for y in (0, 1)]
-    rows = docs.select(F.col(f"`{id}`").alias("id"), utf8(text).alias("text"))
-    rows = rows.join(F.broadcast(drawn[0].union(drawn[1])), "id").groupBy("text").agg(F.max("toxic").alias("toxic"))
-    return rows.withColumn("learns", F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) != 0)
+    drawn = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(rows[y]) for y in (0, 1)]
+    texts = docs.select(F.col(f"`{id}`").alias("id"), utf8(text).alias("text"))
+    texts = texts.join(F.broadcast(drawn[0].union(drawn[1])), "id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    return texts.withColumn("learns", F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) != 0)
 
 
 def _pair_counts(sample: DataFrame) -> DataFrame:
-    """``(v, w, n0, n1)``: how often w follows v in either class; v is empty at the start of a text."""
+    """``(v, w, n0, n1)``: in how many texts of either class w follows v; v is empty at the start of a text."""
     ship(sample.sparkSession)
 
     def count(batches):
@@ -98,7 +100,7 @@ def _pair_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = ["", *words(text)]
-                counts.update(zip(repeat(toxic), found, found[1:]))
+                counts.update(set(zip(repeat(toxic), found, found[1:])))
             if len(counts) > 500_000:
                 yield rows(counts)
                 counts = Counter()
@@ -116,10 +118,10 @@ def _pair_counts(sample: DataFrame) -> DataFrame:
 
 def fit(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
-    rows_per_class: int = ROWS_PER_CLASS, discount: float = DISCOUNT,
+    rows: tuple[int, int] = (ORDINARY_ROWS, TOXIC_ROWS), discount: float = DISCOUNT,
 ) -> Model:
     """Fits both models and the curve on labelled rows. What reaches the driver is bounded by the sample."""
-    sample = stored(_sample(docs, labels, id, text, label, rows_per_class), "toxicity-sample")
+    sample = stored(_sample(docs, labels, id, text, label, rows), "toxicity-sample")
     sizes = {(r.toxic, r.learns): r.n for r in sample.groupBy("toxic", "learns").agg(F.count("*").alias("n")).collect()}
     classes = {y for y, _ in sizes}
     if classes != {0, 1}:
@@ -139,31 +141,36 @@ def fit(
     vocabulary = {r.w: i + 1 for i, r in enumerate(telling)}
     p = np.array([[lam[y] * r.p / everything + max(r[1 + y] - discount, 0) / total[y] for y in (0, 1)] for r in telling]).reshape(-1, 2)
     word = np.concatenate([[np.log(lam[1] / lam[0])], np.log(p[:, 1] / p[:, 0])])
-    contexts = pairs.groupBy("v").agg(
-        F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), F.sum(cut("n0")).alias("f0"), F.sum(cut("n1")).alias("f1")
-    )
-    back = np.ones((len(word), 2))  # what a context leaves to the continuation counts, in either class
-    seen = np.ones((len(word), 2))
-    for r in contexts.where("s0 > f0 OR s1 > f1").collect():
-        if i := vocabulary.get(r.v):
-            seen[i] = max(r.s0, 1), max(r.s1, 1)
-            back[i] = [f / s if s else 1.0 for s, f in ((r.s0, r.f0), (r.s1, r.f1))]
-    keys, values = [], []
-    for r in pairs.where((F.col("n0") > discount) | (F.col("n1") > discount)).collect():
-        v, w = vocabulary.get(r.v), vocabulary.get(r.w)
-        if v and w:
-            own = [max(n - discount, 0) / seen[v][y] + back[v][y] * p[w - 1][y] for y, n in ((0, r.n0), (1, r.n1))]
-            keys.append(v * len(word) + w)
-            values.append(np.log(own[1] / own[0]))
-    order = np.argsort(keys)
-    model = Model(
-        None, vocabulary, word, np.log(back[:, 1] / back[:, 0]), np.array(keys, np.int64)[order], np.array(values, float)[order]
-    )
+    order, values = _telling_pairs(pairs, vocabulary, p, word)
+    model = Model(None, vocabulary, word, order, values)
     share = labels.where(F.col(f"`{label}`").isNotNull()).agg(F.avg((F.col(f"`{label}`") > 0).cast("double"))).collect()[0][0]
     model.weights = _curve(model, sample, share)
     return model
 
 
+def _telling_pairs(pairs: DataFrame, vocabulary: dict[str, int], p: np.ndarray, word: np.ndarray):
+    """Sorted keys of pairs that discounting leaves, and their log-likelihood differences."""
+    contexts = pairs.withColumn("n", F.col("n0") + F.col("n1")).groupBy("v").agg(F.sum("n").alias("all"), F.max("n").alias("most"))
+    everything = {r.v: r["all"] for r in contexts.where(F.col("most") > PAIR_DISCOUNT).collect()}
+    rows = pairs.where(F.col("n0") + F.col("n1") > PAIR_DISCOUNT).collect()
+    left: dict[str, np.ndarray] = {}  # what discounting leaves of a context, by class
+    split = [np.array([r.n0, r.n1]) * (1 - PAIR_DISCOUNT / (r.n0 + r.n1)) for r in rows]
+    for r, m in zip(rows, split):
+        left[r.v] = left.get(r.v, 0) + m
+    found = {}
+    for r, m in zip(rows, split):
+        v, w = vocabulary.get(r.v), vocabulary.get(r.w)
+        if v and w:
+            mass = left[r.v]
+            shared = m.sum() / mass.sum()
+            own = (m + SHARED * shared) / (mass + SHARED)
+            back = 1 - mass.sum() / everything[r.v]
+            q = (1 - back) * own + back * p[w - 1]
+            found[v * len(word) + w] = np.log(q[1] / q[0])
+    keys = np.array(sorted(found), np.int64)
+    return keys, np.array([found[k] for k in keys.tolist()], float)
+
+
 def _curve(model: Model, sample: DataFrame, share: float) -> np.ndarray:
     """Weights of the logistic curve, for classes in the shares that the labels have."""
     kept = sample.where(~F.col("learns"))
