@@ -153,7 +153,7 @@ def compare_with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.select("id").where("id IS NOT NULL").stat.approxQuantile("id", [i / parts for i in range(1, parts)], 0.25 / parts)
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    edges = [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
     ranges = Bucketizer(splits=edges, inputCol="at", outputCol="range", handleInvalid="keep")
     # Ranges run downwards; rows without an id (the last bucket) come after all others.
     number = F.when(F.col("id").isNull(), F.lit(len(edges) + 1)).otherwise(F.lit(len(edges)) - F.col("range").cast("int"))
