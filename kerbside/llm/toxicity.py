@@ -185,16 +185,19 @@ def _curve(model: Model, sample: DataFrame, share: float) -> np.ndarray:
     middle, spread = x.mean(0), x.std(0) + 1e-9
     a = np.column_stack([(x - middle) / spread, np.ones(len(x))])
     balance = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-    w = np.zeros(4)
-    ridge = np.array([1.0, 1.0, 1.0, 1e-3]) * 0.1
-    for _ in range(50):  # Newton
+    w, use = np.zeros(4), np.ones(4, bool)
+    ridge = np.array([0.02, 0.02, 0.02, 1e-4])
+    for _ in range(100):  # Newton; evidence can't count against toxicity, so a feature with a negative weight is left out
         prob = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (balance * (prob - y)) + ridge * w
-        curvature = (a * (balance * prob * (1 - prob))[:, None]).T @ a + np.diag(ridge)
+        gradient = (a.T @ (balance * (prob - y)) + ridge * w)[use]
+        curvature = ((a * (balance * prob * (1 - prob))[:, None]).T @ a + np.diag(ridge))[np.ix_(use, use)]
         step = np.linalg.solve(curvature, gradient)
-        w -= step
+        w[use] -= step
         if np.abs(step).max() < 1e-9:
-            break
+            if (w[:3] >= 0).all():
+                break
+            use[:3] &= w[:3] >= 0
+            w = np.where(use, w, 0.0)
     return np.append(w[:3] / spread, w[3] - (w[:3] * middle / spread).sum())
 
 
