@@ -12,8 +12,9 @@
    distance is at most the size of their difference. As this is a metric, answers carry over between similar sets: the
    distances computed for a list's first set bound those of every other set, which is only compared where they allow it.
 5. In a first round every set proposes its nearest survivor among the sets before it in a list; these are verified
-   on the sets themselves and give components. In a second round all survivors of different components are verified.
-   A pair inside one component can't change it, so large groups of near copies cost a forest, not all their pairs.
+   on the sets themselves and give components. In a second round all survivors of different components are verified
+   (those of long lists are only found then). A pair inside one component can't change it, so large groups of near
+   copies cost a forest, not all their pairs.
 
 Defined results: a document without words, or a null one, has an empty set, links with nothing and is its own component.
 With fewer words than a shingle has, the whole sequence is the only shingle. Documents without an id take part; the
@@ -28,7 +29,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.llm.common import annotate, ship, slices, utf8
 from kerbside.llm.components import components
@@ -215,8 +216,11 @@ class _Lists:
         near = far <= most
         return i[near], j[near], far[near]
 
-    def pairs(self, nearest: bool):
-        """Pairs of rows that survive; with ``nearest`` the best earlier partner of each row."""
+    def pairs(self):
+        """Pairs of rows that survive, and whether one is the best earlier partner of the other.
+
+        Of a long list only these nearest pairs come, unless roots are known: then all pairs of different components.
+        """
         if self.root is not None:
             self.group = np.unique(np.array([r or s for r, s in zip(self.root, self.sid)], dtype="S12"), return_inverse=True)[1]
         sizes = np.diff(self.starts)
@@ -227,13 +231,12 @@ class _Lists:
             i.append((first[:, None] + a).ravel())
             j.append((first[:, None] + b).ravel())
         if i:
-            i, j = np.concatenate(i), np.concatenate(j)
-            for at in range(0, len(i), 500_000):
-                yield self.chosen(*self.survives(i[at : at + 500_000], j[at : at + 500_000]), nearest)
+            i, j = self.survives(np.concatenate(i), np.concatenate(j))[:2], None
+            yield (*i, self.nearest(*i))
         for g in np.flatnonzero(sizes > SKIP):
-            yield from self.long_list(self.starts[g], self.starts[g + 1], nearest)
+            yield from self.long_list(self.starts[g], self.starts[g + 1])
 
-    def long_list(self, begin, end, nearest):
+    def long_list(self, begin, end):
         if self.root is not None and (self.group[begin:end] == self.group[begin]).all():
             return
         leader = np.bitwise_count(self.sketch[begin:end] ^ self.sketch[begin]).sum(1, dtype=np.int64)
@@ -255,21 +258,25 @@ class _Lists:
             y = y[(y >= low) & (y < x)]
             y = y[np.abs(leader[y] - leader[x]) <= most]
             if len(y):
-                out.append(self.chosen(*self.survives(np.full(len(y), begin + x), begin + y), nearest))
+                i, j, far = self.survives(np.full(len(y), begin + x), begin + y)
+                if self.root is None and len(far):  # the first round takes the nearest
+                    i, j, far = i[:1], j[[far.argmin()]], far[:1]
+                out.append((i, j, np.full(len(i), self.root is None)))
         if out:
             yield tuple(np.concatenate(c) for c in zip(*out))
 
-    @staticmethod
-    def chosen(i, j, far, nearest):
-        if nearest and len(i):
-            order = np.lexsort((j, far, i))
-            first = np.append(True, i[order][1:] != i[order][:-1])
-            i, j = i[order][first], j[order][first]
-        return i, j
+    def nearest(self, i, j):
+        """Which of the surviving pairs hold the best earlier partner of row i."""
+        far = np.bitwise_count(self.sketch[i] ^ self.sketch[j]).sum(1, dtype=np.int64)
+        order = np.lexsort((j, far, i))
+        best = np.zeros(len(i), bool)
+        if len(i):
+            best[order[np.append(True, i[order][1:] != i[order][:-1])]] = True
+        return best
 
 
-def _candidates(lists: DataFrame, least, nearest: bool) -> DataFrame:
-    """``(a, b)``, a < b: pairs of sets that may link. Lists are gathered by shingle and pair of blocks."""
+def _candidates(lists: DataFrame, least) -> DataFrame:
+    """``(a, b, near)``, a < b: pairs of sets that may link. Lists are gathered by shingle and pair of blocks."""
     keys = ["token", "block_i", "block_j"]
 
     def search(batches):
@@ -290,25 +297,29 @@ def _candidates(lists: DataFrame, least, nearest: bool) -> DataFrame:
 
     def found(table):
         lists_ = _Lists(table, least)
-        pairs = set()
-        for i, j in lists_.pairs(nearest):
+        pairs: dict[tuple[bytes, bytes], bool] = {}
+        for i, j, near in lists_.pairs():
             sid = lists_.sid
-            pairs.update((sid[a], sid[b]) if sid[a] < sid[b] else (sid[b], sid[a]) for a, b in zip(i.tolist(), j.tolist()) if sid[a] != sid[b])
+            for a, b, n in zip(i.tolist(), j.tolist(), near.tolist()):
+                if sid[a] != sid[b]:
+                    pair = (sid[a], sid[b]) if sid[a] < sid[b] else (sid[b], sid[a])
+                    pairs[pair] = n or pairs.get(pair, False)
             if len(pairs) > 50_000:
                 yield rows_of(pairs)
-                pairs = set()
+                pairs = {}
         yield rows_of(pairs)
 
     def rows_of(pairs):
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+        ends = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays([*ends, pa.array(list(pairs.values()), pa.bool_())], names=["a", "b", "near"])
 
     gathered = lists.repartition(*keys).sortWithinPartitions(*keys, "n", "sid")
-    return gathered.mapInArrow(search, "a binary, b binary").distinct()
+    return gathered.mapInArrow(search, "a binary, b binary, near boolean").groupBy("a", "b").agg(F.max("near").alias("near"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least, label: str) -> DataFrame:
     """Those pairs whose sets link. The sets of pairs are fetched once each."""
-    pairs = stored(pairs, f"{label}-pairs")
+    pairs = stored(pairs.select("a", "b"), f"{label}-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), f"{label}-sets")
     if wanted.count() <= BROADCAST_SETS:
         wanted = F.broadcast(wanted)
@@ -328,6 +339,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, least, label: str) -> DataFrame
     return stored(with_b.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary"), f"{label}-links")
 
 
+def _shared_lists(postings: DataFrame, sets: DataFrame, least) -> DataFrame:
+    """The lists' rows that have a neighbour of fitting size in their list, with its length k and the sets' sketches."""
+    by = Window.partitionBy("token", "block_i", "block_j")
+    sized = by.orderBy("n", "sid")
+    before, after = F.lag("n").over(sized), F.lead("n").over(sized)
+    fits = (least[1] * F.col("before") >= least[0] * F.col("n")) | (least[1] * F.col("n") >= least[0] * F.col("after"))
+    near = postings.select("*", before.alias("before"), after.alias("after"), F.lag("sid").over(sized).alias("again"))
+    near = near.where(fits & ~F.col("sid").eqNullSafe(F.col("again"))).drop("before", "after", "again")
+    several = near.withColumn("k", F.count("*").over(by)).where("k > 1")
+    sketches = sets.where("sketch IS NOT NULL").groupBy("sid").agg(F.first("sketch").alias("sketch"))
+    return several.join(sketches, "sid")
+
+
 def similar_classes(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, frequent: int = FREQUENT
 ) -> DataFrame:
@@ -335,15 +359,18 @@ def similar_classes(
     ship(docs.sparkSession)
     sets = _set_table(docs, id, text, shingle)
     postings = _postings(sets, _frequent(sets, frequent), least)
-    by = "token, block_i, block_j"
-    several = postings.selectExpr("*", f"count(*) OVER (PARTITION BY {by}) AS k").where("k > 1").drop("k")
-    several = several.dropDuplicates(["token", "block_i", "block_j", "sid"])
-    sketches = sets.where("sketch IS NOT NULL").groupBy("sid").agg(F.first("sketch").alias("sketch"))
-    lists = stored(several.join(sketches, "sid"), "shingle-lists")
-    first = _verified(_candidates(lists, least, nearest=True), sets, least, "nearest")
+    lists = stored(_shared_lists(postings, sets, least), "shingle-lists")
+    pairs = stored(_candidates(lists, least), "candidates")
+    first = _verified(pairs.where("near"), sets, least, "nearest")
     roots = stored(components(first, "nearest-stars"), "nearest-roots")
-    rooted = lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-    second = _verified(_candidates(rooted, least, nearest=False), sets, least, "rest")
+    # The second round: what short lists have already given, and long lists once more, between components only.
+    root_of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+    apart = pairs.where("NOT near").join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    apart = apart.where(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b")
+    long = lists.where(F.col("k") > SKIP).join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+    tried = pairs.where("near").select("a", "b")
+    rest = apart.union(_candidates(long, least).select("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
+    second = _verified(rest, sets, least, "rest")
     final = components(first.union(second), "all-stars").select(F.col("node").alias("sid"), "root")
     classes = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("least_id"))
     classes = classes.join(final, "sid", "left").withColumn("root", F.coalesce("root", "sid"))

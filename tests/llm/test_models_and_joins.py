@@ -224,7 +224,7 @@ def test_the_sample_has_the_target_weights(spark):
     rng = random.Random(4)
     data = [(i, " ".join("w" for _ in range(rng.randrange(1, 60))), rng.choice(["en", "en", "en", "fr", None]), "s0" if i % 3 else f"s{i % 7}") for i in range(20_000)]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
-    targets = {"source": {"s0": 0.4, "s1": 0.3, "other": 0.3}, "lang": {"en": 0.5, "fr": 0.3, "other": 0.2}, "topic": {"prose": 1.0}}
+    targets = {"source": {"s0": 0.6, "s1": 0.1, "other": 0.3}, "lang": {"en": 0.5, "fr": 0.3, "other": 0.2}, "topic": {"prose": 1.0}}
     rows = mixing.mix(docs, targets, 0.2).collect()
     kept = [r for r in rows if r.mix_kept]
     total = sum(r.mix_tokens for r in kept)
