@@ -108,16 +108,14 @@ def forest_grid_search(t: Tables) -> DataFrame:
 @query(
     "stream_hourly_demand",
     with_views(
-        """SELECT CAST(PULocationID AS INTEGER) AS pickup_zone_id, date_trunc('hour', tpep_pickup_datetime) AS pickup_hour, count(*) AS trip_count
-        FROM trips WHERE tpep_pickup_datetime IS NOT NULL AND date_trunc('hour', tpep_pickup_datetime) + INTERVAL 1 HOUR
-          <= (SELECT max(tpep_pickup_datetime) FROM trips) - INTERVAL 2 HOUR GROUP BY 1, 2""",
-        "trips",
+        """SELECT * FROM gold WHERE pickup_hour + INTERVAL 1 HOUR <= (SELECT max(pickup_hour) FROM gold) - INTERVAL 2 HOUR""",
+        "gold",
     ),
 )
 def stream_hourly_demand(t: Tables) -> DataFrame:
-    """All closed hours after the available files have been processed as one micro-batch."""
-    files = written(t.trips, "arriving")
+    """Governed demand of all closed hours, streamed a file at a time in whatever order the files have."""
+    files = written(t.trips.repartition(4), "arriving")
     output, checkpoint = scratch_path(t.spark, "stream-out"), scratch_path(t.spark, "stream-state")
-    trips = hourly.read_stream(t.spark, files, t.trips.schema)
-    hourly.run_available(hourly.hourly_counts(trips), output, checkpoint)
-    return t.spark.read.schema("pickup_zone_id int, pickup_hour timestamp_ntz, trip_count bigint").parquet(output)
+    trips = hourly.read_stream(t.spark, files, t.trips.schema, files_per_batch=1)
+    hourly.run_available(trips, t.zones, output, checkpoint)
+    return hourly.demand_so_far(t.spark, output, "2 HOUR")

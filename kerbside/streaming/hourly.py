@@ -1,10 +1,17 @@
-"""Incremental zone-hour demand over newly arrived trip files."""
+"""Incremental zone-hour demand over newly arrived trip files.
+
+Files arrive in any order, whole months late, so no event may be lost to a watermark. Every micro-batch adds its own
+eligible counts to the output, in a folder named after the batch; a batch that runs again after a failure replaces its
+folder. Readers add the batches up, so the result doesn't depend on how files were cut into batches.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from kerbside.operators.silver import PICKUP
+from kerbside.operators import gold
+
+COUNTS = "pickup_zone_id int, pickup_borough string, pickup_zone string, pickup_hour timestamp_ntz, trip_count bigint"
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -15,30 +22,31 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return reader.parquet(path)
 
 
-def hourly_counts(trips: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Trips per zone and hour; an hour is final once the watermark has passed its end.
-
-    The watermark needs TIMESTAMP event time; results are cast back to wall clock.
-    """
-    timed = trips.filter(F.col(PICKUP).isNotNull()).withColumn("_at", F.col(PICKUP).cast("timestamp"))
-    return (
-        timed.withWatermark("_at", delay)
-        .groupBy(F.window("_at", "1 hour").alias("_w"), F.col("PULocationID").cast("int").alias("pickup_zone_id"))
-        .agg(F.count("*").alias("trip_count"))
-        .select(
-            "pickup_zone_id", F.col("_w.start").cast("timestamp_ntz").alias("pickup_hour"), "trip_count"
-        )
-    )
+def run_available(trips: DataFrame, zones: DataFrame, output: str, checkpoint: str) -> None:
+    """Count everything that has arrived, under the demand rules of the batch path, then stop."""
 
+    def add(batch: DataFrame, number: int) -> None:
+        counted = gold.hourly_zone_demand_from_trips(batch, zones)
+        counted.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
-def run_available(counts: DataFrame, output: str, checkpoint: str) -> None:
-    """Process everything that has arrived, append the closed hours to Parquet, then stop."""
     query = (
-        counts.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", output)
+        trips.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def demand_so_far(spark: SparkSession, output: str, delay: str | None = None) -> DataFrame:
+    """Demand of all batches together.
+
+    With ``delay`` only hours that ended so long before the newest counted hour; later deliveries may still correct them.
+    """
+    parts = spark.read.schema(COUNTS).parquet(output).drop("batch")
+    keys = [c for c in parts.columns if c != "trip_count"]
+    total = parts.groupBy(*keys).agg(F.sum("trip_count").alias("trip_count"))
+    if delay:
+        newest = parts.agg(F.max("pickup_hour")).scalar()
+        total = total.filter(F.col("pickup_hour") + F.expr("INTERVAL 1 HOUR") <= newest - F.expr(f"INTERVAL {delay}"))
+    return total

@@ -1,3 +1,5 @@
+from datetime import datetime, timedelta
+
 import json
 
 import pytest
@@ -99,28 +101,26 @@ def test_release_window_and_months(spark):
     assert months.pending_months(one.unionByName(old), old, force=True).count() == 3
 
 
-def test_stream_equals_batch_on_closed_hours(spark, tmp_path):
-    """Two deliveries processed one file at a time, the second run resuming from the first."""
-    base = F.lit("2024-01-01").cast("timestamp_ntz")
-    trips = spark.range(2000).select(
-        (base + F.make_dt_interval(F.lit(0), (F.col("id") / 50).cast("int"), F.col("id") % 60)).alias("tpep_pickup_datetime"),
-        (F.col("id") % 5).alias("PULocationID"),
-    )
+def test_stream_loses_nothing_to_the_order_of_files(spark, tmp_path):
+    """Days are delivered out of order, a file at a time; the second run resumes from the first."""
+    day = lambda d: datetime(2024, 1, d)
+    data = [(day(d) + timedelta(hours=h, minutes=m), 2024, 1, z) for d in (9, 2, 20, 1, 15) for h in (0, 7) for m in (1, 59) for z in (1, 2, None, 9)]
+    data += [(datetime(2023, 5, 1), 2024, 1, 1), (None, 2024, 1, 1)]  # outside the partition, without a time
+    schema = "tpep_pickup_datetime timestamp_ntz, year int, month int, PULocationID int"
+    trips = spark.createDataFrame(data, schema)
+    zones = spark.createDataFrame([(1, "A", "a", "s"), (2, "B", "b", "s")], "LocationID int, Borough string, Zone string, service_zone string")
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    for low, high in ((0, 1200), (1200, 2000)):
-        span = trips.filter(F.col("tpep_pickup_datetime").between(
-            base + F.expr(f"INTERVAL {low // 50} HOUR"), base + F.expr(f"INTERVAL {high // 50 - 1} HOUR 59 MINUTE")))
-        span.coalesce(1).write.mode("append").parquet(source)
-        stream = hourly.read_stream(spark, source, trips.schema, 1)
-        hourly.run_available(hourly.hourly_counts(stream), out, state)
-    last = trips.agg(F.max("tpep_pickup_datetime")).first()[0]
-    got = spark.read.parquet(out)
-    hour = F.date_trunc("hour", "tpep_pickup_datetime").cast("timestamp_ntz")
-    want = trips.groupBy(F.col("PULocationID").cast("int").alias("pickup_zone_id"), hour.alias("pickup_hour")).agg(
-        F.count("*").alias("trip_count")
-    ).filter(F.col("pickup_hour") + F.expr("INTERVAL 3 HOUR") <= F.lit(last))
-    assert want.count() > 0
+    for days in ((9, 2, 20), (1, 15)):
+        for d in days:
+            trips.filter(F.dayofmonth("tpep_pickup_datetime") == d).coalesce(1).write.mode("append").parquet(source)
+        hourly.run_available(hourly.read_stream(spark, source, trips.schema, 1), zones, out, state)
+    got = hourly.demand_so_far(spark, out)
+    want = gold.hourly_zone_demand_from_trips(trips, zones)
+    assert got.agg(F.sum("trip_count")).first()[0] == 5 * 2 * 2 * 2
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    closed = hourly.demand_so_far(spark, out, "2 HOUR")
+    assert closed.agg(F.max("pickup_hour")).first()[0] == day(20)
+    assert closed.count() == want.count() - 2
 
 
 def test_gold_counts_only_eligible(rows):
