@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kerbside.operators.series import SeriesShape
 
 # The daily series steps by day and looks back four weeks.
-DAILY = SeriesShape(step="1 DAY", unit="day", lags=(1, 2, 7, 28), windows=(3, 7, 28))
+DAILY = SeriesShape(step="1 DAY", unit="day", lags=(1, 2, 7, 28), windows=(3, 7, 28), week=7)
 
 # {add} stands for the dialect's "timestamp plus whole seconds".
 _VIEWS = {

@@ -214,3 +214,9 @@ def leaking_rows(features: DataFrame, demand: DataFrame, lag: int, unit: str = "
         .filter(F.col(f"lag_{lag}") != F.coalesce("_then", F.lit(0.0)))
         .select(ZONE, HOUR, f"lag_{lag}", "_then")
     )
+
+
+def days_without_actuals(demand: DataFrame, origins: DataFrame) -> DataFrame:
+    """Days of ``origins`` on which nothing was observed in any zone."""
+    days = origins.select(F.to_date("origin").alias("day")).distinct()
+    return days.join(demand.select(F.to_date(HOUR).alias("day")).distinct(), "day", "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.operators.quantiles import quantile_columns, stacked_quantiles
@@ -104,7 +106,9 @@ def box_stats(df: DataFrame, column: str, *by: str) -> DataFrame:
         F.count_if(value > F.col("upper_fence")).alias("above"),
     ]
     if by:
-        return df.select(*by, column).join(fences, list(by)).groupBy(*by, *names).agg(*outside)
+        right = fences.withColumnsRenamed({b: f"_{b}" for b in by})
+        same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
+        return df.select(*by, column).join(right, same).groupBy(*by, *names).agg(*outside)
     known = fences.select(F.struct(*names).alias("_f")).scalar()
     return df.select(column, known.alias("_f")).select(column, "_f.*").groupBy(*names).agg(*outside)
 

@@ -76,14 +76,17 @@ def exact_quantiles(
     order = Window.partitionBy(*keys, "_place").orderBy(F.asc_nulls_first("_cell"))
     p = F.element_at(F.array(*[F.lit(float(x)) for x in probabilities]), F.col("_place") + 1)
     rank = (F.col("_n") - 1) * p
-    ranked = cells.withColumns({"_upto": F.sum("_rows").over(order), "_p": p, "_rank": rank}).filter(
-        "_cell IS NOT NULL"
-    )
-    at = F.floor("_rank")
-    picked = ranked.groupBy(*keys, "_place", "_p", "_rank").agg(
-        F.min(F.when(F.col("_upto") > at, F.col("_cell"))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > at + 1, F.col("_cell"))).alias("_hi"),
+    ranked = cells.withColumns({"_upto": F.sum("_rows").over(order), "_p": p, "_rank": rank})
+    at, inside = F.floor("_rank"), F.col("_cell").isNotNull()
+    picked = ranked.groupBy(*keys, "_place", "_p", "_rank", "_n").agg(
+        F.min(F.when(inside & (F.col("_upto") > at), F.col("_cell"))).alias("_lo"),
+        F.min(F.when(inside & (F.col("_upto") > at + 1), F.col("_cell"))).alias("_hi"),
+        F.max(F.when(~inside, F.col("_upto")).otherwise(0)).alias("_under"),
     )
+    # Both ranks must lie inside the bracket; a value is never taken from outside it.
+    bracketed = (F.col("_under") <= at) & F.col("_lo").isNotNull() & (F.col("_hi").isNotNull() | (at + 1 >= F.col("_n")))
+    outside = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    picked = picked.withColumn("_lo", F.when(bracketed, F.col("_lo")).otherwise(outside))
     step = (F.coalesce("_hi", "_lo") - F.col("_lo")) * (F.col("_rank") - F.floor("_rank"))
     return picked.select(
         *[F.col(k).alias(b) for b, k in zip(by, keys)],

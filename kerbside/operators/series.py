@@ -23,6 +23,7 @@ class SeriesShape:
     unit: str = "hour"
     lags: tuple[int, ...] = (1, 2, 24, 168)
     windows: tuple[int, ...] = (3, 6, 24)
+    week: int = 168  # steps of the baseline, the same time a week before
     airports: tuple[int, ...] = field(default=rules.AIRPORT_ZONE_IDS)
 
     @property

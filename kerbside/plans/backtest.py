@@ -32,7 +32,7 @@ def fold_predictions(features: DataFrame, month: str, shape: SeriesShape, max_it
     if train.isEmpty() or test.isEmpty():
         return None
     model = fit_routed(train, shape, max_iter)
-    baseline = f"lag_{shape.lags[-1]}"
+    baseline = f"lag_{shape.week}"
     return (
         model.predict(model.overall(test, "global_prediction"), "candidate_prediction")
         .withColumns(

@@ -175,12 +175,19 @@ def shadow_forecast(
     horizon: int = 24,
     shape: SeriesShape = series.HOURLY,
 ) -> DataFrame:
-    """Forecast each day of a range from earlier data only, with actuals and baseline joined."""
+    """Forecast each day of a range from earlier data only, with actuals and baseline joined.
+
+    A day none of whose hours has actuals is an error; hours after the last actual aren't scored.
+    """
     origins = demand.sparkSession.range(1).select(F.explode(daily_origins(first_day, last_day)).alias("origin"))
     hours = memory_steps(shape) * (24 if shape.unit == "day" else 1)
     if not gates.short_history(demand, origins, hours).isEmpty():
         raise ValueError(f"At least {hours} hours of history are required before the first day")
+    missing = gates.days_without_actuals(demand, origins)
+    if days := [str(row.day) for row in missing.orderBy("day").limit(10).collect()]:
+        raise ValueError(f"No actuals for {', '.join(days)}")
     forecast = recursive_forecast(demand, model, daily_origins(first_day, last_day), horizon, shape)
+    forecast = scoring.matured(forecast, demand)
     joined = scoring.join_previous_week(scoring.join_actuals(forecast, demand), demand)
     return joined.withColumns(
         {

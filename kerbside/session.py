@@ -22,6 +22,7 @@ RUNTIME_CONF = {
 
 # A broadcast table is held whole by the driver and every executor.
 BROADCAST_ROW_LIMIT = 500_000
+BROADCAST_BYTE_LIMIT = 64 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -83,14 +84,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def broadcast_if_small(
     df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, store: str | None = None
 ) -> DataFrame:
-    """Broadcast hint only when the row count is proven to be within ``limit``.
+    """Broadcast hint only when rows and bytes are proven to be within their limits.
 
-    The count stops at ``limit + 1`` rows. Beyond the limit the DataFrame is returned without a
-    hint: the join then shuffles and adaptive execution splits its skewed partitions. ``store``
-    names a table to write first, for an input that is costly to compute once for the count and
-    again for the join.
+    Both are sums of partial aggregates, so no rows meet in one task. Beyond a limit the DataFrame is
+    returned without a hint: the join then shuffles and adaptive execution splits its skewed
+    partitions. ``store`` names a table to write first, for an input that is costly to compute once
+    for the sums and again for the join.
     """
     if store:
         df = stored(df, store)
-    within = df.limit(limit + 1).count() <= limit
+    width = F.lit(8 * (len(df.columns) + 1)).cast("long")
+    for field in df.schema:
+        if field.dataType.simpleString() not in _FIXED:
+            width += F.coalesce(F.length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0))
+    rows, size = df.agg(F.count("*"), F.sum(width)).first()
+    within = rows <= limit and (size or 0) <= BROADCAST_BYTE_LIMIT
     return F.broadcast(df) if within else df
+
+
+_FIXED = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"}

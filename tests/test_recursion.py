@@ -127,3 +127,11 @@ def test_previous_year_of_leap_day(rows):
     data = rows(DEMAND, (1, datetime(2023, 2, 28, 5), 4.0), (1, datetime(2024, 2, 29, 5), 9.0))
     got = {r[HOUR]: r.previous_year for r in scoring.join_previous_year(data, data).collect()}
     assert got[datetime(2024, 2, 29, 5)] == 4.0 and got[datetime(2023, 2, 28, 5)] == 0.0
+
+
+def test_hours_after_the_last_actual_are_not_scored(demand):
+    known = demand.filter(F.col(HOUR) <= datetime(2024, 5, 30, 11))
+    scored = recursion.shadow_forecast(known, SHADOW, "2024-05-30", "2024-05-30")
+    assert scored.agg(F.max(scoring.FORECAST_HOUR)).first()[0] == datetime(2024, 5, 30, 11)
+    with pytest.raises(ValueError, match="No actuals for 2024-05-31"):
+        recursion.shadow_forecast(known, SHADOW, "2024-05-30", "2024-05-31")

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import Window, functions as F
 
-from kerbside.operators import gates, gold, silver
+from kerbside.operators import profile, gates, gold, silver
 from kerbside.plans import monthly_release
 from kerbside.sources import months, tables
 
@@ -196,3 +196,9 @@ def test_file_without_a_month_is_refused(spark, rows, tmp_path):
     rows(TRIP, *THREE).write.parquet(str(tmp_path / "m"))
     with pytest.raises(Exception, match="No year and month"):
         months.read_month_bounded(spark, str(tmp_path / "m")).count()
+
+
+def test_box_stats_keep_the_group_without_a_name(rows):
+    df = rows("g string, v double", ("a", 1.0), ("a", 3.0), (None, 2.0), (None, 4.0))
+    got = {r.g: (r.q50, r.below, r.above) for r in profile.box_stats(df, "v", "g").collect()}
+    assert got == {"a": (2.0, 0, 0), None: (3.0, 0, 0)}
