@@ -1,7 +1,7 @@
 """Self-join of documents by the Jaccard similarity of their word n-grams, with set-relation skipping.
 
-1. Each document becomes the set of its hashed shingles. Equal sets are one node from here on, however many documents
-   have them.
+1. Each document becomes the set of its hashed shingles. Equal sets of a task are one node from here on, however many
+   documents have them; nodes have short numbers, which keep the index small.
 2. Frequent shingles are counted (partial counts in each task, then an aggregate; a bounded table of the most frequent
    ones travels to the tasks). All sets are ordered alike: rare shingles first, by hash, then frequent ones by count.
    Any common order is exact; this one keeps the lists short.
@@ -29,6 +29,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.llm.common import annotate, ship, slices, utf8
@@ -42,7 +43,7 @@ COUNTED_FROM = 8
 LIST_BLOCK = 2_048  # sets of one shingle that are compared with each other in one place
 SKETCH_BITS = 512
 SKIP = 64  # neighbours in a list that are skipped together
-BROADCAST_SETS = 200_000  # set ids (12 bytes each) that may be broadcast
+BROADCAST_SETS = 200_000  # nodes (8 bytes each) that may be broadcast
 
 _WORDS_KEPT = 300_000
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -92,12 +93,16 @@ def least_overlap(n, m, least):
 
 
 def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """``(id, n, sid, tokens, sketch)``; of equal sets in a task only the first has its tokens and sketch."""
+    """``(id, n, sid, node, tokens, sketch)``; of equal sets in a task only the first is a node, with tokens and sketch.
+
+    The table is written, so node numbers stay what they are.
+    """
 
     def make():
-        hashes, seen = _WordHashes(), set()
+        hashes, seen, number = _WordHashes(), set(), TaskContext.get().partitionId() << 33
 
         def work(values):
+            nonlocal number
             if len(hashes) > _WORDS_KEPT:
                 hashes.clear()
             rows = []
@@ -106,13 +111,15 @@ def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
                 sid = hashlib.blake2b(tokens.tobytes(), digest_size=12).digest() if len(tokens) else None
                 first = sid is not None and sid not in seen
                 seen.add(sid)
-                rows.append((len(tokens), sid, packed(tokens) if first else None, parity_sketch(tokens) if first else None))
+                number += first
+                shown = (number, packed(tokens), parity_sketch(tokens)) if first else (None, None, None)
+                rows.append((len(tokens), sid, *shown))
             return list(zip(*rows))
 
         return work
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), utf8(text).alias("text"))
-    sets = annotate(rows, F.col("text"), make, "n long, sid binary, tokens binary, sketch binary").drop("text")
+    sets = annotate(rows, F.col("text"), make, "n long, sid binary, node long, tokens binary, sketch binary").drop("text")
     return stored(sets, "shingle-sets")
 
 
@@ -143,7 +150,7 @@ def _frequent(sets: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], n[order]
 
 
-_POSTINGS = "token long, block_i int, block_j int, side int, sid binary, n long, pos long"
+_POSTINGS = "token long, block_i int, block_j int, side int, node long, n int, pos int"
 
 
 def _postings(sets: DataFrame, frequent, least) -> DataFrame:
@@ -156,9 +163,9 @@ def _postings(sets: DataFrame, frequent, least) -> DataFrame:
                 yield from rows(part)
 
     def rows(batch):
-        sids, sizes = batch.column(0).to_pylist(), np.asarray(batch.column(1), np.int64)
+        nodes, sizes = np.asarray(batch.column(0), np.int64), np.asarray(batch.column(1), np.int64)
         tokens = unpacked(b"".join(batch.column(2).to_pylist()))
-        owner = np.repeat(np.arange(len(sids)), sizes)
+        owner = np.repeat(np.arange(len(nodes)), sizes)
         count = np.zeros(len(tokens), np.int64)
         if len(known):
             at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
@@ -169,19 +176,20 @@ def _postings(sets: DataFrame, frequent, least) -> DataFrame:
         inside = pos < np.repeat(prefix, sizes)
         token, count, own, pos = tokens[order][inside], count[order][inside], owner[inside], pos[inside]
         blocks = np.maximum(-(-count // LIST_BLOCK), 1)
-        mine = np.array([int.from_bytes(s[:6], "little") for s in sids])[own] % blocks
+        mine = ((nodes.astype(np.uint64) * _MULTIPLY[0]) >> np.uint64(33)).astype(np.int64)[own] % blocks
         each = np.repeat(np.arange(len(token)), blocks)
         other = np.arange(len(each)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         low, high = np.minimum(mine[each], other), np.maximum(mine[each], other)
         own = own[each]
         columns = [
             pa.array(token[each]), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
-            pa.array((mine[each] != low).astype(np.int32)), batch.column(0).take(pa.array(own)), pa.array(sizes[own]), pa.array(pos[each]),
+            pa.array((mine[each] != low).astype(np.int32)), pa.array(nodes[own]), pa.array(sizes[own].astype(np.int32)),
+            pa.array(pos[each].astype(np.int32)),
         ]
         for begin in range(0, len(own), 100_000):
             yield pa.RecordBatch.from_arrays([c.slice(begin, 100_000) for c in columns], names=[c.split()[0] for c in _POSTINGS.split(", ")])
 
-    return sets.where("tokens IS NOT NULL").select("sid", "n", "tokens").mapInArrow(index, _POSTINGS)
+    return sets.where("tokens IS NOT NULL").select("node", "n", "tokens").mapInArrow(index, _POSTINGS)
 
 
 class _Lists:
@@ -189,10 +197,12 @@ class _Lists:
 
     def __init__(self, table: pa.Table, least):
         number = lambda name: np.asarray(table[name], np.int64)
-        self.sid, self.n, self.pos, self.side, self.least = table["sid"].to_pylist(), number("n"), number("pos"), number("side"), least
+        self.node, self.n, self.pos, self.side, self.least = number("node"), number("n"), number("pos"), number("side"), least
         sketch = table["sketch"].combine_chunks()
         self.sketch = np.frombuffer(b"".join(sketch.to_pylist()), "<u8").reshape(len(self.n), -1)
-        self.root = table["root"].to_pylist() if "root" in table.column_names else None
+        self.group = np.asarray(table["root"].fill_null(-1), np.int64) if "root" in table.column_names else None
+        if self.group is not None:
+            self.group = np.where(self.group < 0, self.node, self.group)
         keys = np.column_stack([number("token"), number("block_i"), number("block_j")])
         self.starts = np.append(np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1))), len(keys))
         self.split = keys[:, 1] != keys[:, 2]  # between two blocks only pairs across them count
@@ -209,7 +219,7 @@ class _Lists:
             self.pos[i] + self.pos[j] <= most
         )
         ok &= (self.side[i] != self.side[j]) | ~self.split[i]
-        if self.root is not None:
+        if self.group is not None:
             ok &= self.group[i] != self.group[j]
         i, j, most = i[ok], j[ok], most[ok]
         far = np.bitwise_count(self.sketch[i] ^ self.sketch[j]).sum(1, dtype=np.int64)
@@ -221,8 +231,6 @@ class _Lists:
 
         Of a long list only these nearest pairs come, unless roots are known: then all pairs of different components.
         """
-        if self.root is not None:
-            self.group = np.unique(np.array([r or s for r, s in zip(self.root, self.sid)], dtype="S12"), return_inverse=True)[1]
         sizes = np.diff(self.starts)
         small, i, j = np.flatnonzero((sizes > 1) & (sizes <= SKIP)), [], []
         for k in np.unique(sizes[small]):  # lists of equal length together
@@ -237,7 +245,7 @@ class _Lists:
             yield from self.long_list(self.starts[g], self.starts[g + 1])
 
     def long_list(self, begin, end):
-        if self.root is not None and (self.group[begin:end] == self.group[begin]).all():
+        if self.group is not None and (self.group[begin:end] == self.group[begin]).all():
             return
         leader = np.bitwise_count(self.sketch[begin:end] ^ self.sketch[begin]).sum(1, dtype=np.int64)
         edges = np.arange(0, end - begin, SKIP)
@@ -259,9 +267,9 @@ class _Lists:
             y = y[np.abs(leader[y] - leader[x]) <= most]
             if len(y):
                 i, j, far = self.survives(np.full(len(y), begin + x), begin + y)
-                if self.root is None and len(far):  # the first round takes the nearest
+                if self.group is None and len(far):  # the first round takes the nearest
                     i, j, far = i[:1], j[[far.argmin()]], far[:1]
-                out.append((i, j, np.full(len(i), self.root is None)))
+                out.append((i, j, np.full(len(i), self.group is None)))
         if out:
             yield tuple(np.concatenate(c) for c in zip(*out))
 
@@ -297,33 +305,23 @@ def _candidates(lists: DataFrame, least) -> DataFrame:
 
     def found(table):
         lists_ = _Lists(table, least)
-        pairs: dict[tuple[bytes, bytes], bool] = {}
         for i, j, near in lists_.pairs():
-            sid = lists_.sid
-            for a, b, n in zip(i.tolist(), j.tolist(), near.tolist()):
-                if sid[a] != sid[b]:
-                    pair = (sid[a], sid[b]) if sid[a] < sid[b] else (sid[b], sid[a])
-                    pairs[pair] = n or pairs.get(pair, False)
-            if len(pairs) > 50_000:
-                yield rows_of(pairs)
-                pairs = {}
-        yield rows_of(pairs)
-
-    def rows_of(pairs):
-        ends = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays([*ends, pa.array(list(pairs.values()), pa.bool_())], names=["a", "b", "near"])
+            a, b = lists_.node[i], lists_.node[j]
+            columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(near)]
+            for begin in range(0, len(i), 100_000):
+                yield pa.RecordBatch.from_arrays([c.slice(begin, 100_000) for c in columns], names=["a", "b", "near"])
 
-    gathered = lists.repartition(*keys).sortWithinPartitions(*keys, "n", "sid")
-    return gathered.mapInArrow(search, "a binary, b binary, near boolean").groupBy("a", "b").agg(F.max("near").alias("near"))
+    gathered = lists.repartition(*keys).sortWithinPartitions(*keys, "n", "node")
+    return gathered.mapInArrow(search, "a long, b long, near boolean").groupBy("a", "b").agg(F.max("near").alias("near"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least, label: str) -> DataFrame:
     """Those pairs whose sets link. The sets of pairs are fetched once each."""
     pairs = stored(pairs.select("a", "b"), f"{label}-pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), f"{label}-sets")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{label}-sets")
     if wanted.count() <= BROADCAST_SETS:
         wanted = F.broadcast(wanted)
-    tokens = sets.where("tokens IS NOT NULL").select("sid", "tokens").join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+    tokens = sets.where("tokens IS NOT NULL").select("node", "tokens").join(wanted, "node", "left_semi")
 
     def compare(batches):
         for batch in batches:
@@ -334,22 +332,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, least, label: str) -> DataFrame
                 ok.append(least[1] * both >= least[0] * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(ok))
 
-    with_a = pairs.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a")
-    with_b = with_a.join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
-    return stored(with_b.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary"), f"{label}-links")
+    with_a = pairs.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+    with_b = with_a.join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
+    return stored(with_b.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), f"{label}-links")
 
 
 def _shared_lists(postings: DataFrame, sets: DataFrame, least) -> DataFrame:
     """The lists' rows that have a neighbour of fitting size in their list, with its length k and the sets' sketches."""
     by = Window.partitionBy("token", "block_i", "block_j")
-    sized = by.orderBy("n", "sid")
+    sized = by.orderBy("n", "node")
     before, after = F.lag("n").over(sized), F.lead("n").over(sized)
     fits = (least[1] * F.col("before") >= least[0] * F.col("n")) | (least[1] * F.col("n") >= least[0] * F.col("after"))
-    near = postings.select("*", before.alias("before"), after.alias("after"), F.lag("sid").over(sized).alias("again"))
-    near = near.where(fits & ~F.col("sid").eqNullSafe(F.col("again"))).drop("before", "after", "again")
+    near = postings.select("*", before.alias("before"), after.alias("after")).where(fits).drop("before", "after")
     several = near.withColumn("k", F.count("*").over(by)).where("k > 1")
-    sketches = sets.where("sketch IS NOT NULL").groupBy("sid").agg(F.first("sketch").alias("sketch"))
-    return several.join(sketches, "sid")
+    return several.join(sets.where("node IS NOT NULL").select("node", "sketch"), "node")
 
 
 def similar_classes(
@@ -366,14 +362,15 @@ def similar_classes(
     # The second round: what short lists have already given, and long lists once more, between components only.
     root_of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
     apart = pairs.where("NOT near").join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
-    apart = apart.where(~F.coalesce("a_root", "a").eqNullSafe(F.coalesce("b_root", "b"))).select("a", "b")
-    long = lists.where(F.col("k") > SKIP).join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+    apart = apart.where(~(F.coalesce("a_root", "a") == F.coalesce("b_root", "b"))).select("a", "b")
+    long = lists.where(F.col("k") > SKIP).join(roots, "node", "left")
     tried = pairs.where("near").select("a", "b")
     rest = apart.union(_candidates(long, least).select("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
     second = _verified(rest, sets, least, "rest")
-    final = components(first.union(second), "all-stars").select(F.col("node").alias("sid"), "root")
-    classes = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("least_id"))
-    classes = classes.join(final, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    final = components(first.union(second), "all-stars")
+    # Nodes with equal sets have linked, so any of them tells the root of their class.
+    classes = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("least_id"), F.min("node").alias("node"))
+    classes = classes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = classes.join(smallest, "root").select("sid", "component_id")
     rows = sets.select("id", "n", "sid").join(classes, "sid", "left")
