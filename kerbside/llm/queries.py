@@ -159,9 +159,57 @@ MIX_TARGETS = {
 MIX_BUDGET = 0.5  # of all tokens
 
 
-@query("op10_source_mixing")
+def _mix_sql(rounds: int) -> str:
+    """Raking as a recursive query: every round scales the cells to one marginal after another."""
+    quoted = lambda names: ", ".join(f"'{n}'" for n in sorted(names) if n != mixing.OTHER)
+    category = lambda a: f"CASE WHEN {a} IN ({quoted(MIX_TARGETS[a])}) THEN {a} ELSE '{mixing.OTHER}' END AS {a}"
+    topic = " ".join(f"WHEN regexp_matches(lower(coalesce(text, '')), '{pattern}') THEN '{name}'" for name, pattern in mixing.TOPICS)
+    goals = " UNION ALL ".join(
+        f"SELECT '{a}' AS axis, '{c}' AS category, CAST({g} AS DOUBLE) AS goal" for a in mixing.AXES for c, g in MIX_TARGETS[a].items()
+    )
+    wanted = ", ".join(
+        f"""{a}_goals AS (SELECT {a}, coalesce(max(goal), 0) / sum(coalesce(max(goal), 0)) OVER () AS {a}_goal
+          FROM cells LEFT JOIN goals ON axis = '{a}' AND category = {a} GROUP BY {a})"""
+        for a in mixing.AXES
+    )
+    scaled = "SELECT step + 1 AS step, source, lang, topic, source_goal, lang_goal, topic_goal, share FROM raked WHERE step < " + str(rounds)
+    for a in mixing.AXES:
+        scaled = f"""SELECT step, source, lang, topic, source_goal, lang_goal, topic_goal,
+          CASE WHEN sum(share) OVER (PARTITION BY {a}) > 0 THEN share * ({a}_goal / sum(share) OVER (PARTITION BY {a})) ELSE 0 END AS share
+          FROM ({scaled})"""
+    return f"""
+    WITH RECURSIVE placed AS (
+      SELECT doc_id, text, {category("source")}, {category("lang")}, CASE {topic} ELSE '{mixing.PROSE}' END AS topic,
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens,
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(31) || coalesce(text, '')), 1, 12) AS BIGINT)
+          / CAST(281474976710656 AS DOUBLE) AS draw
+      FROM documents),
+    cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS n FROM placed GROUP BY 1, 2, 3 HAVING sum(tokens) > 0),
+    goals AS ({goals}), {wanted},
+    raked AS (
+      SELECT 0 AS step, source, lang, topic, source_goal, lang_goal, topic_goal, n / sum(n) OVER () AS share
+      FROM cells JOIN source_goals USING (source) JOIN lang_goals USING (lang) JOIN topic_goals USING (topic)
+      UNION ALL {scaled}),
+    fitted AS (
+      SELECT source, lang, topic, n, share / sum(share) OVER () AS share, share / sum(share) OVER () / n AS density
+      FROM raked JOIN cells USING (source, lang, topic) WHERE step = {rounds}),
+    filled AS (
+      SELECT density, ({MIX_BUDGET} * sum(n) OVER () - coalesce(sum(n) OVER before, 0)) / (1 - coalesce(sum(share) OVER before, 0)) AS scale
+      FROM fitted WHERE share > 0
+      WINDOW before AS (ORDER BY density DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    chosen AS (SELECT coalesce(arg_max(scale, density) FILTER (WHERE scale * density <= 1), max(1 / density)) AS scale FROM filled),
+    priced AS (
+      SELECT source, lang, topic, share * sum(n) OVER () / n AS weight, greatest(0, least(1, scale * density)) AS probability
+      FROM fitted CROSS JOIN chosen)
+    SELECT doc_id, source, lang, topic, tokens, round(weight, 6) AS weight, round(probability, 6) AS probability, round(draw, 9) AS draw,
+      draw < probability AS kept
+    FROM placed JOIN priced USING (source, lang, topic)"""
+
+
+@query("op10_source_mixing", _mix_sql(60))
 def source_mixing(spark, sf_dir):
     """Every document's cell, weight and probability, and whether the mix keeps it."""
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), MIX_TARGETS, MIX_BUDGET)
     names = ("source", "lang", "topic", "tokens", "weight", "probability", "draw", "kept")
-    return mixed.select("doc_id", *[F.col(f"mix_{n}").alias(n) for n in names])
+    rows = mixed.select("doc_id", *[F.col(f"mix_{n}").alias(n) for n in names])
+    return rows.withColumns({"weight": F.round("weight", 6), "probability": F.round("probability", 6), "draw": F.round("draw", 9)})
