@@ -15,8 +15,9 @@ from kerbside.plans import backtest, demand_models, driver_clusters, money_model
 from kerbside.session import scratch_path, stored
 from kerbside.streaming import hourly
 
-# Boosting rounds of the registered model queries; the plans default to 120 and 60.
-ROUNDS = 5
+# Boosting rounds of the registered model queries; the plans default to 120 and 60. The backtest fits three models for
+# every month that it tests.
+ROUNDS, BACKTEST_ROUNDS = 20, 5
 
 
 @query("train_forecast")
@@ -27,7 +28,7 @@ def train_forecast(t: Tables) -> DataFrame:
 
 @query("rolling_backtest")
 def rolling_backtest(t: Tables) -> DataFrame:
-    return rounded(backtest.rolling_backtest(t.daily, "2001-01", "2001-04", DAILY, ROUNDS))
+    return rounded(backtest.rolling_backtest(t.daily, "2001-01", "2001-04", DAILY, BACKTEST_ROUNDS))
 
 
 @query("final_candidate")
@@ -42,36 +43,37 @@ def final_candidate(t: Tables) -> DataFrame:
     )
 
 
-def _candidate(t: Tables) -> demand_models.RoutedModel:
+def _candidate_before_shadow(t: Tables) -> demand_models.RoutedModel:
     early = t.daily.filter(F.col(HOUR) < F.to_timestamp_ntz(F.lit("2001-01-01 00:00:00")))
     return backtest.final_candidate(early, DAILY, ROUNDS)
 
 
 @query("recursive_forecast")
 def recursive_forecast(t: Tables) -> DataFrame:
-    forecast = recursion.publishable_forecast(t.daily, _candidate(t), 24, DAILY)
+    model = backtest.final_candidate(t.daily, DAILY, ROUNDS)  # refitted on all data, as the forecast starts after them
+    forecast = recursion.publishable_forecast(t.daily, model, 24, DAILY)
     return rounded(forecast.drop("forecast_generated_at"))
 
 
 @query("recursive_shadow")
 def recursive_shadow(t: Tables) -> DataFrame:
-    result = recursion.shadow_evaluation(t.daily, _candidate(t), "2001-02-01", "2001-02-28", DAILY)
+    result = recursion.shadow_evaluation(t.daily, _candidate_before_shadow(t), "2001-02-01", "2001-02-28", DAILY)
     return rounded(result["daily"].withColumn("day", F.col("day").cast("string")))
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(t: Tables) -> DataFrame:
-    return rounded(driver_clusters.elbow(drivers.income_and_hours(featured(t)), restarts=2), 3)
+    return rounded(driver_clusters.elbow(drivers.income_and_hours(featured(t)), restarts=10), 3)
 
 
 @query("kmeans_profile")
 def kmeans_profile(t: Tables) -> DataFrame:
-    return rounded(driver_clusters.cluster_profile(drivers.income_and_hours(featured(t)), restarts=3), 3)
+    return rounded(driver_clusters.cluster_profile(drivers.income_and_hours(featured(t)), restarts=10), 3)
 
 
 def _money(t: Tables, target: str) -> money_models.MoneyModels:
     trips = t.legacy.na.fill({"surcharge": 0.0})
-    return money_models.MoneyModels(trips, target, "trip_id", trees=10, depth=6)
+    return money_models.MoneyModels(trips, target, "trip_id")
 
 
 @query("fare_models")
