@@ -26,21 +26,22 @@ AXES = ("source", "lang", "topic")
 ROUNDS = 200
 CLOSE = 1e-10
 
-# Ordered topic rules (name, pattern over the lower-cased text).
+# Ordered topic rules (name, what the text must hold, pattern that it must match as well).
 TOPICS = (
-    ("tabular", r" \| "),
-    ("contact", r"[a-z0-9._]+@[a-z0-9.]+\.[a-z]{2,}"),
-    ("licensing", r"\b(license|licence|copyright|warranty|permission)\b"),
-    ("numeric", r"[0-9]{3,}"),
+    ("tabular", " | ", None),
+    ("contact", "@", r"[A-Za-z0-9._]@[A-Za-z0-9.]+\.[A-Za-z]{2}"),
+    ("licensing", None, r"\b([Ll]icen[cs]e|LICENSE|[Cc]opyright|COPYRIGHT|[Ww]arranty|WARRANTY|[Pp]ermission|PERMISSION)\b"),
+    ("numeric", None, r"[0-9][0-9][0-9]"),
 )
 PROSE = "prose"
 
 
 def topic_of(text):
-    """The topic of a text column."""
-    low, out = F.lower(F.coalesce(text, F.lit(""))), F.lit(PROSE)
-    for name, pattern in reversed(TOPICS):
-        out = F.when(low.rlike(pattern), name).otherwise(out)
+    """The topic of a text column that has no nulls."""
+    out = F.lit(PROSE)
+    for name, needle, pattern in reversed(TOPICS):
+        holds = F.contains(text, F.lit(needle)) if needle else F.lit(True)
+        out = F.when(holds & text.rlike(pattern) if pattern else holds, name).otherwise(out)
     return out
 
 
@@ -56,9 +57,10 @@ def _category(column, targets: Mapping[str, float]):
 
 def placed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], prefix: str, text: str = "text") -> DataFrame:
     """``docs`` with its cell and token weight in columns named with ``prefix``."""
-    columns = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col(f"`{text}`"))}
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    columns = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(whole)}
     out = {f"{prefix}{a}": _category(columns[a].cast("string"), targets[a]) for a in AXES}
-    return docs.withColumns(out | {f"{prefix}tokens": token_weight(F.col(f"`{text}`"))})
+    return docs.withColumns(out | {f"{prefix}tokens": token_weight(whole)})
 
 
 def fit_cells(tokens: Mapping[tuple[str, str, str], int], targets: Mapping[str, Mapping[str, float]], rounds: int = ROUNDS) -> dict:

@@ -163,7 +163,11 @@ def _mix_sql(rounds: int) -> str:
     """Raking as a recursive query: every round scales the cells to one marginal after another."""
     quoted = lambda names: ", ".join(f"'{n}'" for n in sorted(names) if n != mixing.OTHER)
     category = lambda a: f"CASE WHEN {a} IN ({quoted(MIX_TARGETS[a])}) THEN {a} ELSE '{mixing.OTHER}' END AS {a}"
-    topic = " ".join(f"WHEN regexp_matches(lower(coalesce(text, '')), '{pattern}') THEN '{name}'" for name, pattern in mixing.TOPICS)
+    whole = "coalesce(text, '')"
+    tests = lambda needle, pattern: " AND ".join(
+        [f"contains({whole}, '{needle}')"] * bool(needle) + [f"regexp_matches({whole}, '{pattern}')"] * bool(pattern)
+    )
+    topic = " ".join(f"WHEN {tests(needle, pattern)} THEN '{name}'" for name, needle, pattern in mixing.TOPICS)
     goals = " UNION ALL ".join(
         f"SELECT '{a}' AS axis, '{c}' AS category, CAST({g} AS DOUBLE) AS goal" for a in mixing.AXES for c, g in MIX_TARGETS[a].items()
     )

@@ -245,7 +245,7 @@ def test_mixing_awkward_rows(awkward):
 
 def test_topics(spark):
     texts = ["plain words", "a | b", "write to me@x.org", "under this License", "call 12345", None]
-    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.topic_of(F.col("text"))).collect()]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.topic_of(F.coalesce("text", F.lit("")))).collect()]
     assert got == ["prose", "tabular", "contact", "licensing", "numeric", "prose"]
 
 
