@@ -17,7 +17,8 @@ from kerbside.llm.queries import MIX_BUDGET, MIX_TARGETS, language_network, toxi
 from kerbside.llm.registry import QUERIES
 from kerbside.session import scratch_path
 
-LEAST_LANGUAGE_SCORE = 0.5
+# Documents in two or three languages are clean and share their probability; only near even odds say nothing.
+LEAST_LANGUAGE_SCORE = 0.3
 SHINGLE, LEAST = 5, (80, 100)
 
 
@@ -28,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose language is told with a probability of a half at least."""
+    """Documents with letters whose language is told better than by near even odds."""
     prepare(spark)
     return language_id.keep_identified(docs, language_network(docs), LEAST_LANGUAGE_SCORE)
 

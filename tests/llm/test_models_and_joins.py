@@ -262,7 +262,7 @@ def test_pipeline_equals_its_stages_by_hand(spark, documents, labels):
     rows = QUERIES["pipeline"](spark, SMALL).collect()
     toxic = {r.doc_id for r in toxicity.score(documents, toxicity_model(documents, labels)).where("predicted = 1").collect()}
     left = documents.where(~F.col("doc_id").isin(toxic))
-    sure = language_id.identify(left, language_network(left)).where("lang_pred <> 'und' AND score >= 0.5")
+    sure = language_id.identify(left, language_network(left)).where(f"lang_pred <> 'und' AND score >= {corpus_pipeline.LEAST_LANGUAGE_SCORE}")
     told = [(r.doc_id, r.text) for r in sure.select("doc_id", "text").collect()]
     single = [i for i, _, c in brute_components(told, 5, (80, 100)) if i == c]
     assert len(single) < len(told) < documents.count()
