@@ -92,6 +92,15 @@ def least_overlap(n, m, least):
     return -(-least[0] * (n + m) // (least[0] + least[1]))
 
 
+def most_difference(n, least):
+    """How many shingles a set of n and any linked set that isn't larger can differ in at most.
+
+    What two sizes allow rises and falls with their sum's parity, and never rises as a partner loses two shingles, so
+    partners of n and n - 1 shingles tell.
+    """
+    return max(n + m - 2 * least_overlap(n, m, least) for m in (n, n - 1))
+
+
 def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
     """``(id, n, sid, node, tokens, sketch)``; of equal sets in a task only the first is a node, with tokens and sketch.
 
@@ -257,7 +266,7 @@ class _Lists:
             low = np.searchsorted(self.n[begin : begin + x], -(-self.least[0] * size // self.least[1]))
             if low == x:
                 continue
-            most = 2 * size - 2 * least_overlap(size, size, self.least)  # partners before x aren't larger
+            most = most_difference(size, self.least)  # partners before x aren't larger
             block = np.arange(low // SKIP, (x - 1) // SKIP + 1)
             block = block[
                 (lowest[block] + self.pos[begin + x] <= most) & (closest[block] <= leader[x] + most) & (farthest[block] >= leader[x] - most)
