@@ -8,8 +8,9 @@ have shared counts left in either class and say nothing, while one that many con
 
 A text's features are length-normalised log-likelihood differences, toxic less ordinary: of the whole text, of its
 strongest pair of neighbouring words and of its strongest word. A logistic curve over them, fitted on labelled rows that
-the counts have not seen, gives the score. The models are fitted on at most ``rows[y]`` labelled rows of class y (those
-with the smallest hashed ids, a documented bound); every text is scored whole.
+the counts have not seen, gives the score. The counts come from all labelled rows but those of the curve. One in
+CALIBRATION texts is for the curve, up to ``rows[y]`` of class y (those with the smallest hashes, a documented bound).
+Every text is scored whole. Words and pairs that discounting leaves are gathered in one model, which grows with them.
 
 Defined results: null counts as the empty text, which gets the score of a text without evidence. An id with several
 labels is toxic if one of them says so; labels or ids that are null teach nothing. Equal texts are learnt from once. If
@@ -22,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -29,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside.llm.common import annotate, fresh, ship, utf8
-from kerbside.session import stored
+from kerbside.session import broadcast_if_small, stored
 
-TOXIC_ROWS, ORDINARY_ROWS = 4_000, 12_000
+TOXIC_ROWS, ORDINARY_ROWS = 4_000, 12_000  # for the logistic curve
 DISCOUNT = 2.0  # of continuation counts
 PAIR_DISCOUNT = 8.0
 SHARED = 50.0  # texts' weight of the shared split of pairs
-CALIBRATION = 4  # every so many-th learnt row is kept for the logistic curve
+CALIBRATION = 4  # every so many-th labelled text is kept for the logistic curve, as far as its bound goes
 
 _WORDS = re.compile(r"\w+").findall
 
@@ -82,13 +84,20 @@ class Model:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, rows: tuple[int, int]) -> DataFrame:
-    """``(text, toxic, learns)``: the labelled rows to learn from. The ids that are broadcast are bounded."""
+    """``(text, toxic, learns)``: the labelled texts, and whether the counts or the curve learn from them."""
     known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic"))
     known = known.where("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    drawn = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(rows[y]) for y in (0, 1)]
     texts = docs.select(F.col(f"`{id}`").alias("id"), utf8(text).alias("text"))
-    texts = texts.join(F.broadcast(drawn[0].union(drawn[1])), "id").groupBy("text").agg(F.max("toxic").alias("toxic"))
-    return texts.withColumn("learns", F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) != 0)
+    texts = texts.join(broadcast_if_small(stored(known, "toxicity-labels")), "id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    hashed = F.xxhash64("text")
+    texts = stored(texts.withColumn("h", F.when(F.pmod(hashed, F.lit(CALIBRATION)) == 0, hashed)), "toxicity-texts")
+    last = {}  # the largest hash of each class that the curve takes
+    for y in (0, 1):
+        curve = texts.where((F.col("toxic") == y) & F.col("h").isNotNull()).select("h").orderBy("h").limit(rows[y])
+        last[y] = curve.agg(F.max("h")).collect()[0][0]
+    taken = [(F.col("toxic") == y) & (F.col("h") <= h) for y, h in last.items() if h is not None]
+    curve = reduce(lambda a, b: a | b, taken, F.lit(False))
+    return texts.select("text", "toxic", (~F.coalesce(curve, F.lit(False))).alias("learns"))
 
 
 def _pair_counts(sample: DataFrame) -> DataFrame:
@@ -120,8 +129,8 @@ def fit(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
     rows: tuple[int, int] = (ORDINARY_ROWS, TOXIC_ROWS), discount: float = DISCOUNT,
 ) -> Model:
-    """Fits both models and the curve on labelled rows. What reaches the driver is bounded by the sample."""
-    sample = stored(_sample(docs, labels, id, text, label, rows), "toxicity-sample")
+    """Fits both models and the curve on all labelled rows. The words and pairs that tell reach the driver."""
+    sample = _sample(docs, labels, id, text, label, rows)
     sizes = {(r.toxic, r.learns): r.n for r in sample.groupBy("toxic", "learns").agg(F.count("*").alias("n")).collect()}
     classes = {y for y, _ in sizes}
     if classes != {0, 1}:
@@ -137,9 +146,12 @@ def fit(
     if not sums[0] or not sums[1]:
         return Model(constant=0.0)
     total, everything, lam = sums[0:2], sums[2], (sums[3] / sums[0], sums[4] / sums[1])
-    telling = by_word.where((F.col("c0") > discount) | (F.col("c1") > discount)).orderBy("w").collect()
-    vocabulary = {r.w: i + 1 for i, r in enumerate(telling)}
-    p = np.array([[lam[y] * r.p / everything + max(r[1 + y] - discount, 0) / total[y] for y in (0, 1)] for r in telling]).reshape(-1, 2)
+    telling = by_word.where((F.col("c0") > discount) | (F.col("c1") > discount)).orderBy("w").toArrow()
+    vocabulary = {w: i + 1 for i, w in enumerate(telling["w"].to_pylist())}
+    number = lambda c: np.asarray(telling[c], float)
+    p = np.column_stack(
+        [lam[y] * number("p") / everything + np.maximum(number(f"c{y}") - discount, 0) / total[y] for y in (0, 1)]
+    )
     word = np.concatenate([[np.log(lam[1] / lam[0])], np.log(p[:, 1] / p[:, 0])])
     order, values = _telling_pairs(pairs, vocabulary, p, word)
     model = Model(None, vocabulary, word, order, values)
@@ -151,24 +163,24 @@ def fit(
 def _telling_pairs(pairs: DataFrame, vocabulary: dict[str, int], p: np.ndarray, word: np.ndarray):
     """Sorted keys of pairs that discounting leaves, and their log-likelihood differences."""
     contexts = pairs.withColumn("n", F.col("n0") + F.col("n1")).groupBy("v").agg(F.sum("n").alias("all"), F.max("n").alias("most"))
-    everything = {r.v: r["all"] for r in contexts.where(F.col("most") > PAIR_DISCOUNT).collect()}
-    rows = pairs.where(F.col("n0") + F.col("n1") > PAIR_DISCOUNT).collect()
-    left: dict[str, np.ndarray] = {}  # what discounting leaves of a context, by class
-    split = [np.array([r.n0, r.n1]) * (1 - PAIR_DISCOUNT / (r.n0 + r.n1)) for r in rows]
-    for r, m in zip(rows, split):
-        left[r.v] = left.get(r.v, 0) + m
-    found = {}
-    for r, m in zip(rows, split):
-        v, w = vocabulary.get(r.v), vocabulary.get(r.w)
-        if v and w:
-            mass = left[r.v]
-            shared = m.sum() / mass.sum()
-            own = (m + SHARED * shared) / (mass + SHARED)
-            back = 1 - mass.sum() / everything[r.v]
-            q = (1 - back) * own + back * p[w - 1]
-            found[v * len(word) + w] = np.log(q[1] / q[0])
-    keys = np.array(sorted(found), np.int64)
-    return keys, np.array([found[k] for k in keys.tolist()], float)
+    kept = pairs.where(F.col("n0") + F.col("n1") > PAIR_DISCOUNT).join(contexts.where(F.col("most") > PAIR_DISCOUNT), "v")
+    rows = kept.select("v", "w", "n0", "n1", "all").toArrow()
+    if not rows.num_rows:
+        return np.zeros(0, np.int64), np.zeros(0)
+    n = np.column_stack([np.asarray(rows[c], float) for c in ("n0", "n1")])
+    m = n * (1 - PAIR_DISCOUNT / n.sum(1))[:, None]
+    context = np.asarray(rows["v"].combine_chunks().dictionary_encode().indices, np.int64)
+    mass = np.column_stack([np.bincount(context, m[:, y])[context] for y in (0, 1)])  # what discounting leaves of a context
+    v, w = (np.fromiter(map(vocabulary.get, rows[c].to_pylist(), repeat(0)), np.int64, rows.num_rows) for c in ("v", "w"))
+    ok = (v > 0) & (w > 0)
+    v, w, m, mass, whole = v[ok], w[ok], m[ok], mass[ok], np.asarray(rows["all"], float)[ok]
+    shared = m.sum(1) / mass.sum(1)
+    own = (m + SHARED * shared[:, None]) / (mass + SHARED)
+    back = (1 - mass.sum(1) / whole)[:, None]
+    q = (1 - back) * own + back * p[w - 1]
+    keys = v * len(word) + w
+    order = np.argsort(keys)
+    return keys[order], np.log(q[:, 1] / q[:, 0])[order]
 
 
 def _curve(model: Model, sample: DataFrame, share: float) -> np.ndarray:

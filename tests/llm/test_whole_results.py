@@ -7,7 +7,7 @@ import pytest
 
 from test_models_and_joins import brute_components
 
-from kerbside.llm import jaccard
+from kerbside.llm import jaccard, toxicity
 
 
 @pytest.mark.parametrize("least", [(85, 100), (80, 100), (1, 2), (99, 100)])
@@ -41,3 +41,20 @@ def test_links_at_the_threshold_in_long_lists(spark, least, size):
     assert got == brute_components(rows, 1, least)
     assert {r[0]: r[2] for r in got}[1] == 0
     assert len(np.unique([r[2] for r in got])) == len(rows) - 9
+
+
+def test_counts_learn_from_all_labelled_rows(spark):
+    rng = random.Random(4)
+    insults = [f"insult{i}" for i in range(10)]
+    docs, marks = [], []
+    for i in range(1_000):
+        words, bad = [f"w{rng.randrange(12)}" for _ in range(30)], i % 5 == 0
+        if bad:
+            words[rng.randrange(1, 30)] = insults[i // 5 % 10]
+        docs.append((i, " ".join(words)))
+        marks.append((i, int(bad)))
+    d, m = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.fit(d, m, rows=(60, 12))
+    assert set(insults) <= set(model.vocabulary)
+    got = {r.doc_id: r.predicted for r in toxicity.score(d, model).collect()}
+    assert all(got[i] == y for i, y in marks)
