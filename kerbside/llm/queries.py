@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprints, jaccard, language_id, mixing, token_counts, topk, toxicity, url_filters, warc
+from kerbside.llm import bpe, fingerprints, jaccard, language_id, lexical_search, mixing, token_counts, topk, toxicity, url_filters
+from kerbside.llm import warc, whitening
 from kerbside.llm.common import read
 from kerbside.llm.registry import query
 
@@ -217,3 +218,37 @@ def source_mixing(spark, sf_dir):
     names = ("source", "lang", "topic", "tokens", "weight", "probability", "draw", "kept")
     rows = mixed.select("doc_id", *[F.col(f"mix_{n}").alias(n) for n in names])
     return rows.withColumns({"weight": F.round("weight", 6), "probability": F.round("probability", 6), "draw": F.round("draw", 9)})
+
+
+@query("op11_embedding_whitening")
+def embedding_whitening(spark, sf_dir):
+    """Every embedding on the eight leading components."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query(
+    "op13_lexical_search",
+    r"""
+    WITH words AS (
+      SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+    lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY 1),
+    totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+    weights AS (
+      SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM counts, totals GROUP BY term, docs),
+    wanted AS (
+      SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    scored AS (
+      SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+      FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals GROUP BY 1, 2),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
+)
+def ranked_search(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"), k=10)
