@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprints, jaccard, language_id, lexical_search, mixing, token_counts, topk, toxicity, url_filters
-from kerbside.llm import warc, whitening
+from kerbside.llm import bpe, fingerprints, interpolation, jaccard, language_id, lexical_search, mixing, token_counts, topk, toxicity
+from kerbside.llm import url_filters, warc, whitening
 from kerbside.llm.common import read
 from kerbside.llm.registry import query
 
@@ -252,3 +252,12 @@ def ranked_search(spark, sf_dir):
     """The ten best documents for every benchmark item."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return lexical_search.search(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"), k=10)
+
+
+@query("op12_lm_scoring")
+def lm_scoring(spark, sf_dir):
+    """The log-probability of every document under an interpolated model of the documents outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = interpolation.score_texts(docs, fold(5) != 1)
+    held_out = F.coalesce(fold(5) == 1, F.lit(False)).alias("held_out")
+    return rows.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
