@@ -8,10 +8,10 @@ estimates that score use all training texts. An order whose context never occurs
 so that probabilities always add up to one over the V words and an unknown one.
 
 Counts grow with the corpus and reach neither the driver nor all tasks. Texts are cut into chunks of at most CHUNK tokens,
-held as numbers into the chunk's own words. A chunk asks for the counts of its distinct n-grams, as one block of 64-bit
-hashes for each of the slots among which hashes are dealt; a slot adds up what all chunks bring and answers each in the
-order it asked. A frequent n-gram thus weighs no more than once a chunk, and no slot holds more than its share of hashes.
-Deleted texts fill chunks of their own, so that fitting the weights moves these only.
+held as numbers into the chunk's own words. A chunk asks for the counts of its distinct n-grams, as one block of sorted
+64-bit hashes for each of the slots, which are ranges of hashes; a slot adds up what all chunks bring and answers each in
+the order it asked. A frequent n-gram thus weighs no more than once a chunk, and no slot holds more than its share of
+hashes. Deleted texts fill chunks of their own, so that fitting the weights moves these only.
 
 Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. N-grams are told apart by 64 bits of hash.
 
@@ -39,13 +39,14 @@ from kerbside.session import scratch_path, stored
 
 ORDER = 2
 DELETED = 16  # one in so many training texts is for the weights
-CHUNK = 1 << 22  # tokens
+CHUNK = 1 << 21  # tokens
 SLOT = 1 << 21  # distinct n-grams of chunks, in the mean, that one slot answers
 BUCKETS = 48  # of context frequencies, by powers of two
 PRIOR = 0.5  # counts that every weight starts with, so that none becomes 0
 ROUNDS, GAIN = 60, 1e-5  # of expectation-maximisation, and the gain in log-likelihood a token that ends it
 START, END = b"\n", b" "  # no word holds white space
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
+STEP = 1 << 17  # tokens whose estimates are held at a time
 _MORE = 255  # counts from here on are stored apart
 
 
@@ -53,30 +54,34 @@ _MORE = 255  # counts from here on are stored apart
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Numbers below 2**32 as four planes of bytes, compressed."""
-    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    """Whole numbers as planes of bytes, compressed."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
     return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
-def unpacked(data: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 4 * size, codec="zstd", asbytes=True), np.uint8).reshape(4, size)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+def unpacked(data: bytes, size: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, width * size, codec="zstd", asbytes=True), np.uint8).reshape(width, size)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
 class Chunk:
-    """Pieces of texts as numbers of words; a piece begins with ``order - 1`` tokens of context."""
+    """Pieces of texts as numbers of words; a piece begins with ``order - 1`` tokens of context.
 
-    def __init__(self, number: int, deleted: bool):
-        self.number, self.deleted = number, deleted
+    All texts of a chunk are alike in whether they teach and whether they are deleted.
+    """
+
+    def __init__(self, number: int, learns: bool, deleted: bool):
+        self.number, self.learns, self.deleted = number, learns, deleted
         self.words: dict[bytes, int] = {}
         self.tokens = array("I")
-        self.pieces: list[tuple] = []  # (id, key, learns, whether the text begins here, tokens without the context)
+        self.pieces: list[tuple] = []  # (id, key, whether the text begins here, tokens without the context)
 
-    def add(self, id, key: int, learns: bool, begins: bool, context: list[bytes], tokens: list[bytes]) -> None:
+    def add(self, id, key: int, begins: bool, context: list[bytes], tokens: list[bytes]) -> None:
         words = self.words
         self.tokens.extend([words.setdefault(w, len(words)) for w in context])
         self.tokens.extend([words.setdefault(w, len(words)) for w in tokens])
-        self.pieces.append((id, key, learns, begins, len(tokens)))
+        self.pieces.append((id, key, begins, len(tokens)))
 
     def row(self) -> list:
         tokens = np.frombuffer(self.tokens, np.uint32)
@@ -86,13 +91,13 @@ class Chunk:
         rank[by_use] = np.arange(len(by_use), dtype=np.uint32)
         words = list(self.words)
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(words[i]) for i in by_use), np.uint64, len(words))
-        return [self.number, self.deleted, len(tokens), packed(rank[tokens]), hashes.tobytes(), *map(list, zip(*self.pieces))]
+        return [self.number, self.learns, self.deleted, len(tokens), packed(rank[tokens]), hashes.tobytes(), *map(list, zip(*self.pieces))]
 
 
 def chunk_schema(id_type: str) -> str:
     return (
-        f"chunk long, deleted boolean, size int, tokens binary, words binary, ids array<{id_type}>, keys array<long>, "
-        "learns array<boolean>, begins array<boolean>, lengths array<int>"
+        f"chunk long, learns boolean, deleted boolean, size int, tokens binary, words binary, ids array<{id_type}>, "
+        "keys array<long>, begins array<boolean>, lengths array<int>"
     )
 
 
@@ -104,7 +109,7 @@ def chunks(texts: DataFrame, order: int, size: int = CHUNK) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         task = TaskContext.get().partitionId() << 36
         number = key = task
-        open_chunks: dict[bool, Chunk] = {}
+        open_chunks: dict[tuple[bool, bool], Chunk] = {}
         kinds = names = None
 
         def closed(chunk: Chunk):
@@ -113,22 +118,22 @@ def chunks(texts: DataFrame, order: int, size: int = CHUNK) -> DataFrame:
 
         for batch in batches:
             if kinds is None:
-                lists = [pa.list_(t) for t in (batch.schema.field(1).type, pa.int64(), pa.bool_(), pa.bool_(), pa.int32())]
-                kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), *lists]
-                names = "chunk deleted size tokens words ids keys learns begins lengths".split()
+                lists = [pa.list_(t) for t in (batch.schema.field(1).type, pa.int64(), pa.bool_(), pa.int32())]
+                kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), *lists]
+                names = "chunk learns deleted size tokens words ids keys begins lengths".split()
             for part in slices(batch, 0):
                 for text, id, learns, deleted in zip(*(c.to_pylist() for c in part.columns)):
                     key += 1
                     context, begins = [START] * (order - 1), True
                     for piece in pieces(text, size):
-                        chunk = open_chunks.get(deleted)
+                        chunk = open_chunks.get((learns, deleted))
                         if chunk is None:
-                            chunk = open_chunks[deleted] = Chunk(number, deleted)
+                            chunk = open_chunks[learns, deleted] = Chunk(number, learns, deleted)
                             number += 1
-                        chunk.add(id, key, learns, begins, context, piece)
+                        chunk.add(id, key, begins, context, piece)
                         begins, context = False, (context + piece)[len(piece) :]
                         if len(chunk.tokens) >= size:
-                            yield closed(open_chunks.pop(deleted))
+                            yield closed(open_chunks.pop((learns, deleted)))
         for chunk in open_chunks.values():
             yield closed(chunk)
 
@@ -167,88 +172,105 @@ def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@dataclass
-class Grams:
-    """The distinct n-grams of one order in a chunk, and which of them ends at each position."""
-
-    number: np.ndarray  # of the n-gram ending at a position; where ``valid``
-    valid: np.ndarray
-    hashes: np.ndarray
-
-    def dealt(self, slots: int) -> tuple[np.ndarray, np.ndarray]:
-        """The n-grams in the order of their slots, and where each slot begins."""
-        slot = (self.hashes % np.uint64(slots)).astype(np.int64)
-        return np.argsort(slot, kind="stable"), np.searchsorted(np.sort(slot), np.arange(slots + 1))
+def _distinct(values: np.ndarray, numbered: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Sorted distinct values, the number of each value among them where wanted, and how often each occurs."""
+    by_value = np.argsort(values) if numbered else None
+    values = values[by_value] if numbered else np.sort(values)
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    repeats = np.diff(np.append(starts, len(values)))
+    number = None
+    if numbered:
+        number = np.empty(len(values), np.int32)
+        number[by_value] = np.repeat(np.arange(len(starts), dtype=np.int32), repeats)
+    return values[starts], number, repeats
 
 
 class Positions:
-    """A chunk's tokens with, for each position, its piece and whether it is a token or context."""
-
-    def __init__(self, size: int, tokens: bytes, words: bytes, learns, begins, lengths, order: int):
-        self.tokens, self.words, self.order = unpacked(tokens, size).astype(np.int64), np.frombuffer(words, np.uint64), order
-        lengths, context = np.asarray(lengths, np.int64), order - 1
-        starts = np.concatenate([[0], np.cumsum(lengths + context)])[:-1]
-        self.piece = np.repeat(np.arange(len(lengths)), lengths + context)
-        self.within = np.arange(size) - starts[self.piece]
+    """A chunk's tokens, and its distinct n-grams of each order."""
+
+    def __init__(self, chunk: dict, order: int):
+        self.tokens = unpacked(chunk["tokens"], chunk["size"], np.uint32).astype(np.int32)
+        self.words, self.order, self.learns = np.frombuffer(chunk["words"], np.uint64), order, chunk["learns"]
+        lengths, context = np.asarray(chunk["lengths"], np.int64) + order - 1, order - 1
+        starts = np.cumsum(lengths) - lengths
+        self.within = (np.arange(chunk["size"]) - np.repeat(starts, lengths)).astype(np.int32)
         self.scored = self.within >= context
-        learns, begins = np.asarray(learns, bool), np.asarray(begins, bool)
         # The last start of a text counts as the context it is, once a text; other context was counted where it was text.
-        counts = self.scored | ((self.within == context - 1) & begins[self.piece])
-        self.counted = counts & learns[self.piece]
-
-    def grams(self) -> Iterator[Grams]:
-        number, hashes = self.tokens, self.words
-        valid = np.ones(len(number), bool)
-        yield Grams(number, valid, hashes)
-        for k in range(2, self.order + 1):
-            before = np.concatenate([[0], number[:-1]])
-            valid = self.within >= k - 1
-            pair = before[valid] * np.int64(len(self.words)) + self.tokens[valid]
-            distinct, inverse = np.unique(pair, return_inverse=True)
-            hashes = _mixed(hashes[distinct // len(self.words)], self.words[distinct % len(self.words)] + np.uint64(k))
-            number = np.zeros(len(self.tokens), np.int64)
-            number[valid] = inverse
-            yield Grams(number, valid, hashes)
+        self.starts = starts[np.asarray(chunk["begins"], bool)] + context - 1 if context else np.zeros(0, np.int64)
+
+    def grams(self, numbered: bool) -> Iterator[tuple[np.ndarray | None, np.ndarray, np.ndarray]]:
+        """For each order: the number of the n-gram that ends at each position (0 where none does), the n-grams' hashes,
+        and how often the chunk teaches them. Without ``numbered`` the highest order has no numbers."""
+        number, hashes, size = self.tokens, self.words, np.int64(len(self.words))
+        for k in range(1, self.order + 1):
+            if k == self.order > 1:
+                # All positions of the highest order are tokens.
+                distinct, last, counts = _distinct(number[:-1][self.scored[1:]] * size + self.tokens[self.scored], numbered)
+                hashes = self._hashes(hashes, distinct, k)
+                if numbered:
+                    number = np.zeros(len(self.tokens), np.int32)
+                    number[self.scored] = last
+                yield number if numbered else None, hashes, counts if self.learns else np.zeros_like(counts)
+                return
+            if k > 1:
+                valid = self.within >= k - 1
+                distinct, own, _ = _distinct(number[:-1][valid[1:]] * size + self.tokens[valid], True)
+                hashes = self._hashes(hashes, distinct, k)
+                number = np.zeros(len(self.tokens), np.int32)
+                number[valid] = own
+            counts = np.zeros(len(hashes), np.int64)
+            if self.learns:
+                counts = np.bincount(number[self.scored], minlength=len(hashes)) + np.bincount(number[self.starts], minlength=len(hashes))
+            yield number, hashes, counts
+
+    def _hashes(self, before: np.ndarray, pairs: np.ndarray, k: int) -> np.ndarray:
+        return _mixed(before[pairs // len(self.words)], self.words[pairs % len(self.words)] + np.uint64(k))
+
+
+def dealt(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the hashes, and where each slot, a range of them, begins and the last one ends."""
+    by_hash = np.argsort(hashes)
+    bounds = np.array([-(-(s << 64) // slots) for s in range(slots)], np.uint64)
+    return by_hash, np.append(np.searchsorted(hashes[by_hash], bounds), len(hashes))
 
 
 def _small(values: np.ndarray) -> tuple[bytes, bytes]:
     """Counts as bytes, those that don't fit apart."""
-    return np.minimum(values, _MORE).astype(np.uint8).tobytes(), values[values >= _MORE].astype("<i8").tobytes()
+    return packed(np.minimum(values, _MORE).astype(np.uint8)), values[values >= _MORE].astype("<i8").tobytes()
 
 
-def _counts(low: bytes, high: bytes) -> np.ndarray:
-    out = np.frombuffer(low, np.uint8).astype(np.int64)
+def _counts(low: bytes, high: bytes, size: int) -> np.ndarray:
+    out = unpacked(low, size, np.uint8).astype(np.int64)
     out[out == _MORE] = np.frombuffer(high, "<i8")
     return out
 
 
-_ASKED = "slot long, chunk long, asking boolean, hashes binary, low binary, high binary"
+_ASKED = "slot long, chunk long, asking boolean, size int, hashes binary, low binary, high binary"
 _ANSWER = "chunk long, slot long, asking boolean, low binary, high binary, kept_low binary, kept_high binary, known long"
 
 
 def requests(chunked: DataFrame, order: int, slots: list[int]) -> DataFrame:
-    """Each chunk's distinct n-grams with their training counts in it, a row for every slot that they fall in."""
+    """Each chunk's distinct n-grams with what it teaches of them, a row for every slot that they fall in."""
 
     def run(batches):
         names = [f.split()[0] for f in _ASKED.split(", ")]
-        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                at = Positions(row["size"], row["tokens"], row["words"], row["learns"], row["begins"], row["lengths"], order)
-                out = [[] for _ in kinds]
-                for k, grams in enumerate(at.grams()):
-                    counts = np.bincount(grams.number[grams.valid & at.counted], minlength=len(grams.hashes))
-                    by_slot, ends = grams.dealt(slots[k])
-                    hashes, counts = grams.hashes[by_slot], counts[by_slot]
+                for k, (_, hashes, counts) in enumerate(Positions(row, order).grams(numbered=False)):
+                    out = [[] for _ in kinds]
+                    by_hash, ends = dealt(hashes, slots[k])
+                    hashes, counts = hashes[by_hash], counts[by_hash]
                     for s in np.flatnonzero(np.diff(ends)):
                         part = slice(ends[s], ends[s + 1])
-                        values = [int(s) * order + k, row["chunk"], row["deleted"], hashes[part].tobytes(), *_small(counts[part])]
+                        steps = np.diff(hashes[part], prepend=np.uint64(0))
+                        values = [int(s) * order + k, row["chunk"], row["deleted"], len(steps), packed(steps), *_small(counts[part])]
                         for column, value in zip(out, values):
                             column.append(value)
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
-    return chunked.select("chunk", "deleted", "size", "tokens", "words", "learns", "begins", "lengths").mapInArrow(run, _ASKED)
+    return chunked.drop("ids", "keys").mapInArrow(run, _ASKED)
 
 
 def answers(asked: DataFrame, order: int, slots: int) -> DataFrame:
@@ -259,22 +281,27 @@ def answers(asked: DataFrame, order: int, slots: int) -> DataFrame:
 
     def add(group: pa.Table) -> pa.Table:
         rows = group.to_pydict()
-        parts = [np.frombuffer(h, np.uint64) for h in rows["hashes"]]
-        ends = np.cumsum([len(p) for p in parts])
-        distinct, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-        counts = [_counts(low, high) for low, high in zip(rows["low"], rows["high"])]
+        del group
+        sizes, asking = rows["size"], rows["asking"]
+        hashes = np.empty(sum(sizes), np.uint64)
+        ends = np.cumsum([0, *sizes])
+        for i, data in enumerate(rows.pop("hashes")):
+            hashes[ends[i] : ends[i + 1]] = np.cumsum(unpacked(data, sizes[i], np.uint64), dtype=np.uint64)
+        distinct, number, _ = _distinct(hashes, True)
+        del hashes
+        each = np.split(number, ends[1:-1])
         total, kept = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        for part, deleted, at in zip(counts, rows["asking"], np.split(inverse, ends[:-1])):  # no hash twice in a part
-            total[at] += part
-            if not deleted:
-                kept[at] += part
-        out = {"chunk": rows["chunk"], "slot": rows["slot"], "asking": rows["asking"]}
-        each = np.split(inverse, ends[:-1])
+        for i, at in enumerate(each):
+            part = np.bincount(at, _counts(rows["low"][i], rows["high"][i], sizes[i]), len(distinct)).astype(np.int64)
+            total += part
+            if not asking[i]:
+                kept += part
+        out = {"chunk": rows["chunk"], "slot": rows["slot"], "asking": asking}
         out["low"], out["high"] = zip(*(_small(total[at]) for at in each))
         # Only deleted chunks ask what is left without them.
-        out["kept_low"], out["kept_high"] = zip(*(_small(kept[at]) if d else (b"", b"") for at, d in zip(each, rows["asking"])))
+        out["kept_low"], out["kept_high"] = zip(*(_small(kept[at]) if d else (b"", b"") for at, d in zip(each, asking)))
         words = int((total > 0).sum()) if rows["slot"][0] % order == 0 else 0
-        out["known"] = [words] + [0] * (len(parts) - 1)
+        out["known"] = [words] + [0] * (len(sizes) - 1)
         kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
         return pa.table([pa.array(c, t) for c, t in zip(out.values(), kinds)], names=list(out))
 
@@ -283,44 +310,45 @@ def answers(asked: DataFrame, order: int, slots: int) -> DataFrame:
 
 
 class Answered:
-    """A chunk's positions with the counts of the n-grams that end at them and of their contexts, by order."""
+    """A chunk's tokens with the counts of the n-grams that end at them and of their contexts, by order."""
 
     def __init__(self, chunk: dict, rows: dict, order: int, slots: list[int], kept: bool):
-        self.at = Positions(chunk["size"], chunk["tokens"], chunk["words"], chunk["learns"], chunk["begins"], chunk["lengths"], order)
+        at = Positions(chunk, order)
         by_slot = {s: i for i, s in enumerate(rows["slot"])}
         prefix = "kept_" if kept else ""
-        self.counts, self.contexts, self.last = [], [], None
-        before = None
-        for k, grams in enumerate(self.at.grams()):
-            dealt, ends = grams.dealt(slots[k])
-            counts = np.zeros(len(grams.hashes), np.int64)
+        self.counts, self.contexts, before = [], [], None
+        for k, (number, hashes, _) in enumerate(at.grams(numbered=True)):
+            by_hash, ends = dealt(hashes, slots[k])
+            counts = np.zeros(max(len(hashes), 1), np.int64)
             for s in np.flatnonzero(np.diff(ends)):
                 i = by_slot[int(s) * order + k]
-                counts[dealt[ends[s] : ends[s + 1]]] = _counts(rows[prefix + "low"][i], rows[prefix + "high"][i])
-            here = np.where(grams.valid, counts[grams.number], 0)
-            scored = self.at.scored
-            self.counts.append(here[scored])
-            self.contexts.append(before[scored] if before is not None else None)
-            before = np.concatenate([[0], here[:-1]])
-            self.last = grams.number[scored]
-
-    def likelihoods(self, tokens: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Estimates of all orders, uniform first, a row for each token; and which of them have a context."""
-        n = len(self.counts[0])
-        estimates, defined = np.zeros((n, len(self.counts) + 1)), np.ones((n, len(self.counts) + 1), bool)
+                counts[by_hash[ends[s] : ends[s + 1]]] = _counts(rows[prefix + "low"][i], rows[prefix + "high"][i], int(ends[s + 1] - ends[s]))
+            here = counts[number]
+            self.counts.append(here[at.scored])
+            self.contexts.append(before[:-1][at.scored[1:]] if before is not None else None)
+            before = here
+        self.last = number[at.scored]
+
+    def __len__(self) -> int:
+        return len(self.last)
+
+    def likelihoods(self, at, tokens: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Estimates of all orders for the tokens ``at``, uniform first, a row for each; and which have a context."""
+        first = self.counts[0][at]
+        estimates, defined = np.zeros((len(first), len(self.counts) + 1)), np.ones((len(first), len(self.counts) + 1), bool)
         estimates[:, 0] = 1 / (words + 1)
-        estimates[:, 1] = self.counts[0] / tokens if tokens else 0
+        estimates[:, 1] = first / tokens if tokens else 0
         defined[:, 1] = tokens > 0
         for k in range(1, len(self.counts)):
-            context = self.contexts[k]
-            estimates[:, k + 1] = self.counts[k] / np.maximum(context, 1)
+            context = self.contexts[k][at]
+            estimates[:, k + 1] = self.counts[k][at] / np.maximum(context, 1)
             defined[:, k + 1] = context > 0
         return estimates, defined
 
-    def buckets(self) -> np.ndarray:
+    def buckets(self, at) -> np.ndarray:
         if len(self.counts) == 1:
-            return np.zeros(len(self.counts[0]), np.int64)
-        return np.minimum(np.frexp(self.contexts[-1].astype(np.float64))[1], BUCKETS - 1)
+            return np.zeros(len(self.counts[0][at]), np.int64)
+        return np.minimum(np.frexp(self.contexts[-1][at].astype(np.float64))[1], BUCKETS - 1)
 
 
 # -- weights -----------------------------------------------------------------------------------------------------------
@@ -408,9 +436,9 @@ class Counted:
 
         def run(chunk, rows):
             found = Answered(chunk, rows, order, slots, kept=True)
-            estimates, _ = found.likelihoods(tokens, words)
             _, first, n = np.unique(found.last, return_index=True, return_counts=True)
-            columns = [found.buckets()[first].astype(np.int32), *estimates[first].T, n]
+            estimates, _ = found.likelihoods(first, tokens, words)
+            columns = [found.buckets(first).astype(np.int32), *estimates.T, n]
             return pa.table([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
 
         fields = ", ".join(["bucket int", *[f"e{k} double" for k in range(order + 1)], "n long"])
@@ -422,8 +450,10 @@ class Counted:
 
         def run(chunk, rows):
             found = Answered(chunk, rows, order, slots, kept=False)
-            estimates, defined = found.likelihoods(tokens, words)
-            logs = np.log10(mixture(estimates, defined, table[found.buckets()]))
+            logs = np.empty(len(found))
+            for start in range(0, len(found), STEP):
+                at = slice(start, start + STEP)
+                logs[at] = np.log10(mixture(*found.likelihoods(at, tokens, words), table[found.buckets(at)]))
             c = found.counts[0]
             base = np.log10((c + 0.5) / (tokens + 0.5 * (words + 1)))
             starts = np.cumsum([0, *chunk["lengths"][:-1]])
@@ -451,8 +481,8 @@ def count(docs: DataFrame, learns: Column, id: str = "doc_id", text: str = "text
     deleted = learns & (F.pmod(F.xxhash64(F.col(f"`{text}`"), F.lit("deleted")), F.lit(DELETED)) == 0)
     texts = docs.select(utf8(text).alias("text"), F.col(f"`{id}`").alias("id"), learns.alias("learns"), deleted.alias("deleted"))
     chunked = chunks(texts, order, size)
-    length = F.aggregate(F.arrays_zip("lengths", "learns"), F.lit(0).cast("long"), lambda a, p: a + F.when(p["learns"], p["lengths"]).otherwise(0))
-    totals = chunked.agg(F.sum(length), F.sum(F.when(~F.col("deleted"), length)), F.sum("size"), F.sum(F.length("words") / 8)).first()
+    length = F.aggregate("lengths", F.lit(0).cast("long"), lambda total, n: total + n)
+    totals = chunked.agg(F.sum(F.when(F.col("learns"), length)), F.sum(F.when(F.expr("learns AND NOT deleted"), length)), F.sum("size"), F.sum(F.length("words") / 8)).first()
     tokens, kept, positions, words = (int(v or 0) for v in totals)
     slots = [max(-(-words // slot), 1)] + [max(-(-positions // slot), 1)] * (order - 1)
     asked = requests(chunked, order, slots)
