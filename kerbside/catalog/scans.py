@@ -37,37 +37,43 @@ def scan_trips_partitioned(t: Tables) -> DataFrame:
 
 @query(
     "scan_union_by_name",
-    with_views(
-        """SELECT year(tpep_pickup_datetime) AS pickup_year, count(*) AS trips,
-          count(CASE WHEN coalesce(year(tpep_pickup_datetime), 0) >= 2024 THEN tolls_amount END) AS with_tolls
-        FROM trips GROUP BY 1""",
-        "trips",
-    ),
+    """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS trips,
+      sum(CAST(l_linenumber AS DOUBLE)) AS passengers, count(CASE WHEN month(l_shipdate) % 3 > 0 THEN l_tax END) AS with_tolls
+    FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-11-01' AND l_shipdate < TIMESTAMP '1998-03-01' GROUP BY 1, 2""",
 )
 def scan_union_by_name(t: Tables) -> DataFrame:
-    at = F.year("tpep_pickup_datetime")
-    root = scratch_path(t.spark, "evolving")
-    late = F.coalesce(at, F.lit(0)) >= 2024  # trips without a time came before the column did
-    t.trips.filter(~late).drop("tolls_amount").write.parquet(f"{root}/part=a")
-    t.trips.filter(late).write.parquet(f"{root}/part=b")
-    merged = t.spark.read.option("mergeSchema", True).parquet(root)
-    return merged.groupBy(at.alias("pickup_year")).agg(
-        F.count("*").alias("trips"), F.count("tolls_amount").alias("with_tolls")
+    """Months that hold passengers as INTEGER, BIGINT or DOUBLE in turn, the first kind without the column of tolls."""
+    root, at = scratch_path(t.spark, "evolving"), F.col("l_shipdate")
+    shipped = t.base("lineitem").select(
+        F.year(at).alias("year"), F.month(at).alias("month"), F.col("l_linenumber").alias("passenger_count"), F.col("l_tax").alias("tolls_amount")
+    )
+    for rest, kind in enumerate(("int", "bigint", "double")):
+        part = shipped.filter(F.col("month") % 3 == rest).withColumn("passenger_count", F.col("passenger_count").cast(kind))
+        part = part if rest else part.drop("tolls_amount")
+        part.repartition("year", "month").write.mode("append").partitionBy("year", "month").parquet(root)
+    merged = months.read_partitioned(t.spark, root, "1996-11", "1998-02")
+    return merged.groupBy("year", "month").agg(
+        F.count("*").alias("trips"), F.sum("passenger_count").alias("passengers"), F.count("tolls_amount").alias("with_tolls")
     )
 
 
 @query(
     "scan_month_bounded",
     with_views(
-        """SELECT trip_id, tpep_pickup_datetime FROM trips
-        WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01' AND tpep_pickup_datetime < TIMESTAMP '2024-02-01'""",
+        """SELECT trip_id, tpep_pickup_datetime, CAST(passenger_count AS DOUBLE) AS passenger_count FROM trips
+        WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01' AND tpep_pickup_datetime < TIMESTAMP '2024-02-01' AND trip_id % 2 = 0
+          OR tpep_pickup_datetime >= TIMESTAMP '2024-02-01' AND tpep_pickup_datetime < TIMESTAMP '2024-03-01' AND trip_id % 2 = 1""",
         "trips",
     ),
 )
 def scan_month_bounded(t: Tables) -> DataFrame:
-    path = written(t.trips, "january")
-    name_files_by_month(t.spark, path, "2024-01")
-    return months.read_month_bounded(t.spark, path).select("trip_id", "tpep_pickup_datetime")
+    """Two deliveries of different types, each with trips of all months: even trips as January, odd ones as February."""
+    root = scratch_path(t.spark, "deliveries")
+    for rest, (period, kind) in enumerate((("2024-01", "bigint"), ("2024-02", "double"))):
+        part = t.trips.filter(F.col("trip_id") % 2 == rest).drop("year", "month")
+        part.withColumn("passenger_count", F.col("passenger_count").cast(kind)).write.parquet(f"{root}/{period}")
+        name_files_by_month(t.spark, f"{root}/{period}", period)
+    return months.read_month_bounded(t.spark, root).select("trip_id", "tpep_pickup_datetime", "passenger_count")
 
 
 @query(

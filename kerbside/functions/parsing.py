@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 # Tokens meaning "missing" and the ordinal passenger bands of the rank feed.
 MISSING_TOKENS = ("", "N/A", "None")
 PASSENGER_BANDS = {"Low": 0, "Medium": 1, "High": 2}
+PERIOD_PATTERN = r"_(\d{4})-(\d{2})\.parquet$"
 
 
 def missing_to_null(text: Column) -> Column:
@@ -36,9 +37,8 @@ def passenger_band(text: Column) -> Column:
 
 def period_of_file(name: Column) -> dict[str, Column]:
     """Year, month and time bounds named by ``..._YYYY-MM.parquet``; NULL when there is none."""
-    pattern = r"_(\d{4})-(\d{2})\.parquet$"
-    year = F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")).cast("int")
-    month = F.nullif(F.regexp_extract(name, pattern, 2), F.lit("")).cast("int")
+    year = F.nullif(F.regexp_extract(name, PERIOD_PATTERN, 1), F.lit("")).cast("int")
+    month = F.nullif(F.regexp_extract(name, PERIOD_PATTERN, 2), F.lit("")).cast("int")
     start = F.make_date(year, month, F.lit(1))
     return {
         "year": year,

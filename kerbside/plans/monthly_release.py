@@ -20,16 +20,7 @@ class ReleasePaths:
 
 def existing_periods(spark: SparkSession, root: str) -> DataFrame:
     """Periods that have a ``year=/month=`` folder below ``root``; a listing, not a scan."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/year=*/month=*")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    names = [status.getPath().toString() for status in found or []]
-    return spark.createDataFrame([(name,) for name in names], "path string").select(
-        F.format_string(
-            "%04d-%02d",
-            F.regexp_extract("path", r"year=(\d+)", 1).cast("int"),
-            F.regexp_extract("path", r"month=(\d+)", 1).cast("int"),
-        ).alias("period")
-    )
+    return spark.createDataFrame([(period,) for period in months.partition_folders(spark, root)], "period string")
 
 
 def build_silver(spark: SparkSession, paths: ReleasePaths, zones: DataFrame, wanted: DataFrame, force: bool = False) -> int:
@@ -45,11 +36,9 @@ def build_silver(spark: SparkSession, paths: ReleasePaths, zones: DataFrame, wan
     periods = [row.period for row in pending.toLocalIterator()]
     if not periods:
         return 0
-    label = F.format_string("%04d-%02d", "year", "month")
-    bronze = spark.read.option("mergeSchema", True).parquet(paths.bronze).filter(label.isin(*periods))
-    tables.check_contract(bronze)
+    bronze = tables.check_contract(months.read_periods(spark, paths.bronze, periods))
     months.write_partitioned(silver.build_silver(bronze, zones), paths.silver)
-    written = spark.read.option("mergeSchema", True).parquet(paths.silver).filter(label.isin(*periods))
+    written = months.read_periods(spark, paths.silver, periods)
     report = quality_report(bronze, written)
     months.write_partitioned(report, paths.reports)
     return len(periods)
@@ -69,10 +58,10 @@ def publish_gold(spark: SparkSession, paths: ReleasePaths, wanted: DataFrame) ->
     The window covers the wanted months and every month already in Silver.
     """
     window = months.release_window(wanted, existing_periods(spark, paths.silver))
-    reports = spark.read.option("mergeSchema", True).parquet(paths.reports)
+    reports = months.read_partitioned(spark, paths.reports, contract=None)
     verdict = gates.completeness(window, gates.quality_verdict(gates.quality_checks(reports))).first()
     if not verdict.passed:
         raise RuntimeError("Quality gate failed; Gold release was not updated")
-    product = gold.hourly_zone_demand(spark.read.option("mergeSchema", True).parquet(paths.silver))
+    product = gold.hourly_zone_demand(months.read_partitioned(spark, paths.silver))
     months.write_sorted(product, paths.gold, "pickup_hour", "pickup_zone_id")
     return gold.product_totals(spark.read.parquet(paths.gold))

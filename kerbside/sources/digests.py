@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from kerbside.sources import widening
+
 
 def file_digests(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Path, size and SHA-256 of each file below ``path``; a file must be smaller than 2 GB."""
@@ -57,4 +59,4 @@ def read_declared(spark: SparkSession, declared: DataFrame, digests: DataFrame)
     paths = [row.path for row in declared.select("path").sort("path").toLocalIterator()]
     if not paths:
         raise ValueError("No sources declared")
-    return spark.read.option("mergeSchema", True).parquet(*paths)
+    return widening.read_widened(spark, paths, contract=None)

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kerbside.functions import clock, parsing
+from kerbside.sources import widening
+from kerbside.sources.tables import TRIP_CONTRACT
+
+Contract = dict[str, tuple[str, ...]] | None  # columns and the type families that each may have
 
 
 def month_floor(period: str) -> Column:
@@ -28,24 +36,66 @@ def within_months(start: str | None, end: str | None) -> Column:
     return keep
 
 
+def partition_folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The folders ``root/year=YYYY/month=MM`` by period; a listing, not a scan."""
+    found: dict[str, list[str]] = {}
+    for path in widening.matching_folders(spark, f"{root}/year=*/month=*"):
+        if match := re.search(r"year=(\d+)/month=(\d+)/?$", path):
+            found.setdefault(f"{int(match[1]):04d}-{int(match[2]):02d}", []).append(path)
+    return found
+
+
+def read_periods(spark: SparkSession, root: str, periods: Iterable[str], contract: Contract = TRIP_CONTRACT) -> DataFrame:
+    """The given months below ``root``, columns aligned by name and widened by type; no other month is opened."""
+    folders = partition_folders(spark, root)
+    return widening.read_widened(spark, [p for period in sorted(set(periods)) for p in folders.get(period, [])], root, contract)
+
+
 def read_partitioned(
-    spark: SparkSession, root: str, start: str | None = None, end: str | None = None
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, contract: Contract = TRIP_CONTRACT
 ) -> DataFrame:
-    """Trips below ``root/year=YYYY/month=MM/``, columns aligned by name across months."""
-    return spark.read.option("mergeSchema", True).parquet(root).filter(within_months(start, end))
+    """Trips below ``root/year=YYYY/month=MM/`` from one month to another, both inclusive, as ``read_periods``."""
+    chosen = [p for p in partition_folders(spark, root) if (start or p) <= p <= (end or p)]
+    if not chosen:
+        raise ValueError(f"No months from {start or 'the first'} to {end or 'the last'} below {root}")
+    return read_periods(spark, root, chosen, contract)
 
 
-def read_month_bounded(spark: SparkSession, path: str, pickup: str = "tpep_pickup_datetime") -> DataFrame:
+def read_month_bounded(
+    spark: SparkSession, path: str, pickup: str = "tpep_pickup_datetime", contract: Contract = TRIP_CONTRACT
+) -> DataFrame:
     """Monthly files, keeping only rows whose pickup lies in the month their file name states.
 
-    Reading stops with an error on a file whose name states no month.
+    Each month is a scan of its own with literal bounds, so that row groups outside them are skipped. Reading stops with an
+    error on a file whose name states no month.
     """
-    trips = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
-    bounds = parsing.period_of_file(F.col("_metadata.file_name"))
-    first = F.when(bounds["first_instant"].isNotNull(), bounds["first_instant"]).otherwise(
-        F.raise_error(F.concat(F.lit("No year and month in file name "), F.col("_metadata.file_name")))
-    )
-    return trips.filter((F.col(pickup) >= first) & (F.col(pickup) <= bounds["last_instant"]))
+    by_period: dict[str, list[str]] = {}
+    for file in widening.data_files(spark, path):
+        match = re.search(parsing.PERIOD_PATTERN, file)
+        if not match or not 1 <= int(match[2]) <= 12:
+            raise ValueError(f"No year and month in file name {file}")
+        by_period.setdefault(f"{match[1]}-{match[2]}", []).append(file)
+    if not by_period:
+        raise ValueError(f"No files below {path}")
+    period_of = {file: period for period, files in by_period.items() for file in files}
+
+    def months_of(scan: DataFrame, group: widening.Group) -> DataFrame:
+        own: dict[str, list[str]] = {}
+        for file in group.paths:
+            own.setdefault(period_of[file], []).append(file)
+        return union_by_name(
+            *[_within(spark.read.schema(group.schema).parquet(*files), pickup, period) for period, files in sorted(own.items())]
+        )
+
+    return widening.read_widened(spark, list(period_of), None, contract, months_of)
+
+
+def _within(scan: DataFrame, pickup: str, period: str) -> DataFrame:
+    first = date.fromisoformat(period + "-01")
+    after = date(first.year + first.month // 12, first.month % 12 + 1, 1)
+    kind = scan.schema[pickup].dataType
+    first, after = (F.lit(f"{day} 00:00:00").cast(kind) for day in (first, after))
+    return scan.filter((F.col(pickup) >= first) & (F.col(pickup) < after))
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
