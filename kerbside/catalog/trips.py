@@ -363,13 +363,13 @@ def stratified_sample_rank(t: Tables) -> DataFrame:
           row_number() OVER (PARTITION BY CAST(tpep_pickup_datetime AS DATE)
             ORDER BY md5(concat_ws('|', strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S.%f'), CAST(PULocationID AS VARCHAR),
               CAST(DOLocationID AS VARCHAR), CAST(trip_id AS VARCHAR))), trip_id) AS r
-        FROM trips WHERE tpep_pickup_datetime IS NOT NULL) ORDER BY r, md5(CAST(d AS VARCHAR)), d LIMIT 1000""",
+        FROM trips WHERE tpep_pickup_datetime IS NOT NULL) ORDER BY r, md5(CAST(d AS VARCHAR)), d LIMIT 10000""",
         "trips",
     ),
 )
 def deterministic_sample(t: Tables) -> DataFrame:
     texted = t.trips.withColumn("_at", F.date_format("tpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    return sampling.stratified_sample(texted, 1000, "trip_id", key=("_at", "PULocationID", "DOLocationID", "trip_id")).select("trip_id")
+    return sampling.stratified_sample(texted, 10_000, "trip_id", key=("_at", "PULocationID", "DOLocationID", "trip_id")).select("trip_id")
 
 
 @query(

@@ -85,19 +85,29 @@ def grid_difference(actual: DataFrame, expected: DataFrame, *key: str) -> DataFr
 def forecast_checks(
     forecast: DataFrame, zones: DataFrame, horizon: int, airports: tuple[int, ...]
 ) -> DataFrame:
-    """Eight forecast checks as rows (check, passed).
+    """Eight forecast checks as rows (check, passed)."""
+    whole = forecast.withColumn("_all", F.lit(0))
+    checks = forecast_checks_by(whole, zones.withColumn("_all", F.lit(0)), horizon, airports, "_all")
+    return checks.drop("_all")
 
-    Completeness needs no expected grid: with every pair distinct and every zone known, the pair
-    count equals zones times hours exactly when the grid is full.
+
+def forecast_checks_by(
+    forecast: DataFrame, zones: DataFrame, horizon: int, airports: tuple[int, ...], key: str
+) -> DataFrame:
+    """Eight checks of each forecast that ``key`` tells apart, as rows (key, check, passed).
+
+    ``zones`` holds the zones that each of them must cover. Completeness needs no expected grid: with every pair distinct
+    and every zone known, the pair count equals zones times hours exactly when the grid is full. A key of ``zones`` without
+    any forecast fails.
     """
     event = (
         F.col("is_event_window") == 1 if "is_event_window" in forecast.columns else F.col("event_code") != 0
     )
     airport = F.col(ZONE).isin(*airports)
-    known = zones.filter(F.col(ZONE).isNotNull()).select(ZONE).distinct().withColumn("_known", F.lit(True))
+    known = zones.filter(F.col(ZONE).isNotNull()).select(key, ZONE).distinct().withColumn("_known", F.lit(True))
     per_pair = (
-        forecast.join(known, ZONE, "left")
-        .groupBy(ZONE, FORECAST_HOUR, "_known")
+        forecast.join(known, [key, ZONE], "left")
+        .groupBy(key, ZONE, FORECAST_HOUR, "_known")
         .agg(
             F.count("*").alias("rows"),
             F.count_if(F.col(PREDICTED).isNull()).alias("nulls"),
@@ -109,13 +119,14 @@ def forecast_checks(
         )
     )
     names = ("rows", "nulls", "not_positive", "airport", "bad_airport", "bad_event", "bad_global")
-    hours = forecast.select(FORECAST_HOUR).distinct().agg(F.count("*")).scalar()
-    expected_zones = known.agg(F.count("*")).scalar()
-    sums = per_pair.agg(
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
+    hours = forecast.select(key, FORECAST_HOUR).distinct().groupBy(key).agg(F.count("*").alias("hours"))
+    counted = per_pair.groupBy(key).agg(
+        *[F.sum(n).alias(n) for n in names],
         F.count("*").alias("pairs"),
         F.count_if(F.col("_known").isNull()).alias("unknown_pairs"),
-    ).withColumns({"zones": expected_zones, "hours": hours})
+    )
+    expected = known.groupBy(key).agg(F.count("*").alias("zones"))
+    sums = expected.join(hours, key, "full").join(counted, key, "left").na.fill(0)
     checks = {
         "expected_row_count": F.col("rows") == F.col("zones") * horizon,
         "complete_zone_hour_grid": (F.col("hours") == horizon)
@@ -129,7 +140,7 @@ def forecast_checks(
         "global_model_routing": F.col("bad_global") == 0,
     }
     rows = [F.struct(F.lit(n).alias("check"), F.coalesce(c, F.lit(False)).alias("passed")) for n, c in checks.items()]
-    return sums.select(F.inline(F.array(*rows)))
+    return sums.select(key, F.inline(F.array(*rows)))
 
 
 # Thresholds of the model release decision.

@@ -233,30 +233,34 @@ def flag_totals(reports: DataFrame) -> DataFrame:
 def summary(gold: DataFrame, airports: tuple[int, ...] = rules.AIRPORT_ZONE_IDS) -> DataFrame:
     """One row: totals, peak month, leading borough and zone, airport share, per-day rates.
 
-    All measures derive from one compact aggregate of the product by day and zone.
+    One pass: trips by day and zone are expanded to four grouping sets, and one aggregate picks every measure from these.
     """
     cube = gold.groupBy(
         F.to_date("pickup_hour").alias("day"), "pickup_zone_id", "pickup_zone", "pickup_borough"
-    ).agg(F.sum("trip_count").alias("trips"))
-    months = cube.groupBy(F.trunc("day", "month").alias("month")).agg(F.sum("trips").alias("trips"))
-    boroughs = cube.groupBy("pickup_borough").agg(F.sum("trips").alias("trips"))
-    zones = cube.groupBy("pickup_zone_id", "pickup_zone").agg(F.sum("trips").alias("trips"))
-    rates = by_day_type(gold)
-
-    def leader(frame: DataFrame, name: str, *order) -> DataFrame:
-        return frame.orderBy(F.desc("trips"), *order).limit(1).select(name)
-
-    def rate(kind: str):
-        return rates.filter(F.col("day_type") == kind).select(F.round("pickups_per_day", 2)).scalar()
-
-    return months.agg(F.sum("trips").alias("eligible_pickups")).select(
-        "eligible_pickups",
-        leader(months, "month", "month").scalar().alias("peak_month"),
-        leader(boroughs, "pickup_borough", "pickup_borough").scalar().alias("top_borough"),
-        leader(zones, "pickup_zone", "pickup_zone_id").scalar().alias("top_zone"),
-        F.coalesce(
-            cube.filter(F.col("pickup_zone_id").isin(*airports)).agg(F.sum("trips")).scalar(), F.lit(0)
-        ).alias("airport_pickups"),
-        rate("Weekday").alias("weekday_pickups_per_day"),
-        rate("Weekend").alias("weekend_pickups_per_day"),
+    ).agg(F.sum("trip_count").alias("trips")).withColumn("month", F.trunc("day", "month"))
+    sets = {"month": ["month"], "borough": ["pickup_borough"], "zone": ["pickup_zone_id", "pickup_zone"], "day": ["day"]}
+    columns = [name for own in sets.values() for name in own]
+    totals = cube.groupingSets([[F.col(n) for n in own] for own in sets.values()], *columns).agg(
+        F.sum("trips").alias("trips"), *[F.grouping(own[0]).alias(f"_{level}") for level, own in sets.items()]
+    )
+
+    def of(level: str, value):
+        return F.when(F.col(f"_{level}") == 0, value)
+
+    def leader(level: str, name: str, tie: str):
+        """The name with most trips; of equals the one whose ``tie`` comes first."""
+        return F.min_by(name, of(level, F.struct(-F.col("trips"), F.col(tie))))
+
+    def rate(weekend: bool):
+        days = of("day", F.when(clock.sunday_first_weekday("day").isin(0, 6) == weekend, F.col("trips")))
+        return F.round(F.try_divide(F.sum(days), F.count(days)), 2)
+
+    return totals.agg(
+        F.sum(of("month", F.col("trips"))).alias("eligible_pickups"),
+        leader("month", "month", "month").alias("peak_month"),
+        leader("borough", "pickup_borough", "pickup_borough").alias("top_borough"),
+        leader("zone", "pickup_zone", "pickup_zone_id").alias("top_zone"),
+        F.coalesce(F.sum(of("zone", F.when(F.col("pickup_zone_id").isin(*airports), F.col("trips")))), F.lit(0)).alias("airport_pickups"),
+        rate(False).alias("weekday_pickups_per_day"),
+        rate(True).alias("weekend_pickups_per_day"),
     )

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.functions import rules
 from kerbside.operators.silver import PICKUP
-from kerbside.session import broadcast_if_small
+from kerbside.session import broadcast_if_small, stored
 
 SAMPLE_KEY = (PICKUP, "PULocationID", "DOLocationID")
+SLOT_DIGITS = 3  # leading hexadecimal digits of a hash by which trips of a day are counted
+HASH_SLOTS = 16**SLOT_DIGITS
 
 
 def rank_within_day(trips: DataFrame, *tie: str, key: tuple[str, ...] = SAMPLE_KEY) -> DataFrame:
@@ -37,33 +39,50 @@ def rank_within_day(trips: DataFrame, *tie: str, key: tuple[str, ...] = SAMPLE_K
     )
 
 
+def rounds_needed(day_rows: list[int], rows: int) -> int:
+    """How many times each day is drawn from until ``rows`` are reached: the least level with sum(min(day, level)) >= rows."""
+    level, left = 0, rows
+    for place, size in enumerate(sorted(day_rows)):
+        open_days = len(day_rows) - place
+        step = size - level
+        if step * open_days >= left:
+            return level + -(-left // open_days)
+        level, left = size, left - step * open_days
+    return level
+
+
 def stratified_sample(
     trips: DataFrame, rows: int = 10_000, *tie: str, key: tuple[str, ...] = SAMPLE_KEY
 ) -> DataFrame:
-    """``rows`` trips taken round-robin over the days.
+    """``rows`` trips taken round-robin over the days, each day in hash order.
 
-    Each input partition first keeps its own ``rows`` best of every day, which bounds what any day
-    sends to the final ranking.
+    Selection by threshold: a histogram of the leading hash digits per day says from which digits on a day has as many trips
+    as the sample takes from it; later digits are dropped where they are read, and only the rest, that number and one part
+    in HASH_SLOTS of the day at most, is put in order.
     """
     if rows <= 0:
         raise ValueError("rows must be positive")
-    keyed = trips.filter(F.col(PICKUP).isNotNull()).withColumns(
-        {
-            "_day": F.to_date(PICKUP),
-            "_key": rules.stable_key(*key),
-            "_part": F.spark_partition_id() % 256,
-        }
+    keyed = trips.filter(F.col(PICKUP).isNotNull()).withColumns({"_day": F.to_date(PICKUP), "_key": rules.stable_key(*key)})
+    keyed = keyed.withColumn("_slot", F.substring("_key", 1, SLOT_DIGITS))
+    histogram = stored(keyed.groupBy("_day", "_slot").agg(F.count("*").alias("_rows")), "sample-histogram")
+    sizes = [row.n for row in histogram.groupBy("_day").agg(F.sum("_rows").alias("n")).toLocalIterator()]  # a row per day
+    needed = rounds_needed(sizes, rows)
+    before = Window.partitionBy("_day").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    limits = (
+        histogram.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .filter(F.col("_before") < needed)
+        .groupBy("_day")
+        .agg(F.max("_slot").alias("_last"))
     )
-    local = Window.partitionBy("_day", "_part").orderBy("_key", *tie)
     overall = Window.partitionBy("_day").orderBy("_key", *tie)
     return (
-        keyed.withColumn("_n", F.row_number().over(local))
-        .filter(F.col("_n") <= rows)
+        keyed.join(broadcast_if_small(limits, store="sample-limits"), "_day")
+        .filter("_slot <= _last")
         .withColumn("_n", F.row_number().over(overall))
-        .filter(F.col("_n") <= rows)
+        .filter(F.col("_n") <= needed)
         .orderBy("_n", F.md5(F.col("_day").cast("string")), "_day")
         .limit(rows)
-        .drop("_day", "_key", "_part", "_n")
+        .drop("_day", "_key", "_slot", "_last", "_n")
     )
 
 

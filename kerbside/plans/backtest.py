@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions import clock, errors
 from kerbside.operators import scoring, series
 from kerbside.operators.series import COUNT, HOUR, ZONE, SeriesShape
 from kerbside.plans.demand_models import RoutedModel, fit_routed, quantile_of
-from kerbside.session import stored
+from kerbside.session import scratch_path, stored
 
 PASSTHROUGH = ("is_event_window", "is_new_year_window")
+FOLDS_AT_ONCE = 4
+
+# Fits the three models on the rows before a fold's month.
+Fit = Callable[[DataFrame, SeriesShape, int], RoutedModel]
 
 
 def test_months(features: DataFrame, first_test: str, last_test: str | None = None) -> list[str]:
@@ -24,14 +29,16 @@ def test_months(features: DataFrame, first_test: str, last_test: str | None = No
     return [row.period for row in months.orderBy("period").toLocalIterator()]
 
 
-def fold_predictions(features: DataFrame, month: str, shape: SeriesShape, max_iter: int) -> DataFrame | None:
+def fold_predictions(
+    features: DataFrame, month: str, shape: SeriesShape, max_iter: int, fit: Fit = fit_routed
+) -> DataFrame | None:
     """Test-month rows with global and routed predictions; the fit sees only earlier months."""
     start = F.to_timestamp_ntz(F.lit(f"{month}-01 00:00:00"))
     train = features.filter(F.col(HOUR) < start)
     test = features.filter((F.col(HOUR) >= start) & (F.col(HOUR) < start + F.expr("INTERVAL 1 MONTH")))
     if train.isEmpty() or test.isEmpty():
         return None
-    model = fit_routed(train, shape, max_iter)
+    model = fit(train, shape, max_iter)
     baseline = f"lag_{shape.week}"
     return (
         model.predict(model.overall(test, "global_prediction"), "candidate_prediction")
@@ -102,21 +109,44 @@ def fold_metrics(predictions: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
+def finished_folds(spark: SparkSession, folder: str) -> set[str]:
+    """Months whose fold has been written whole: a job marks its folder when all its files are there."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/fold=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return {status.getPath().getParent().getName().removeprefix("fold=") for status in found}
+
+
 def rolling_backtest(
     demand: DataFrame,
     first_test: str,
     last_test: str | None = None,
     shape: SeriesShape = series.HOURLY,
     max_iter: int = 60,
+    fit: Fit = fit_routed,
+    folder: str | None = None,
 ) -> DataFrame:
-    """Fold metrics for every test month. The driver loops over folds; each fit is distributed."""
+    """Fold metrics for every test month.
+
+    Features are written once. Folds are fitted FOLDS_AT_ONCE at a time, each by distributed jobs, and each writes its
+    predictions to ``folder`` (a scratch one unless given); a run that broke off goes on with the folds that aren't there,
+    for the same demand and settings.
+    """
+    spark = demand.sparkSession
     features = stored(series.feature_table(demand, None, shape), "backtest-features")
-    folds = [
-        fold_predictions(features, month, shape, max_iter)
-        for month in test_months(features, first_test, last_test)
-    ]
-    predictions = reduce(DataFrame.unionByName, [fold for fold in folds if fold is not None])
-    return fold_metrics(stored(predictions, "fold-predictions"), features.select(ZONE, HOUR, COUNT))
+    folder = folder or scratch_path(spark, "folds")
+    done = finished_folds(spark, folder)
+
+    def run(month: str) -> None:
+        fold = fold_predictions(features, month, shape, max_iter, fit)
+        if fold is not None:
+            fold.write.mode("overwrite").parquet(f"{folder}/fold={month}")
+
+    pending = [month for month in test_months(features, first_test, last_test) if month not in done]
+    with ThreadPoolExecutor(FOLDS_AT_ONCE) as pool:
+        list(pool.map(run, pending))
+    if not finished_folds(spark, folder):
+        raise ValueError("No month has rows to learn from and rows to test")
+    return fold_metrics(spark.read.parquet(f"{folder}/fold=*"), features.select(ZONE, HOUR, COUNT))
 
 
 def final_candidate(demand: DataFrame, shape: SeriesShape = series.HOURLY, max_iter: int = 60) -> RoutedModel:

@@ -162,6 +162,12 @@ def publishable_forecast(
     )
 
 
+def zones_at(demand: DataFrame, origins: Column) -> DataFrame:
+    """(zone, origin): the zones that have been observed before each origin."""
+    zones = demand.filter(F.col(ZONE).isNotNull()).groupBy(ZONE).agg(F.min(HOUR).alias("_first"))
+    return zones.select(ZONE, "_first", F.explode(origins).alias("origin")).filter("_first < origin").select(ZONE, "origin")
+
+
 def daily_origins(first_day: str, last_day: str) -> Column:
     start, end = (F.to_timestamp_ntz(F.lit(f"{day} 00:00:00")) for day in (first_day, last_day))
     return F.sequence(start, end, F.expr("INTERVAL 1 DAY"))
@@ -177,8 +183,11 @@ def shadow_forecast(
 ) -> DataFrame:
     """Forecast each day of a range from earlier data only, with actuals and baseline joined.
 
-    A day none of whose hours has actuals is an error; hours after the last actual aren't scored.
+    A day none of whose hours has actuals is an error, and so are a model whose training reaches into the first day's month
+    and a day whose forecast fails a check; hours after the last actual aren't scored.
     """
+    if model.trained and model.trained[1][:7] >= first_day[:7]:
+        raise ValueError(f"Model training until {model.trained[1]} must end before the month of the first day, {first_day}")
     origins = demand.sparkSession.range(1).select(F.explode(daily_origins(first_day, last_day)).alias("origin"))
     hours = memory_steps(shape) * (24 if shape.unit == "day" else 1)
     if not gates.short_history(demand, origins, hours).isEmpty():
@@ -187,6 +196,10 @@ def shadow_forecast(
     if days := [str(row.day) for row in missing.orderBy("day").limit(10).collect()]:
         raise ValueError(f"No actuals for {', '.join(days)}")
     forecast = recursive_forecast(demand, model, daily_origins(first_day, last_day), horizon, shape)
+    zones = zones_at(demand, daily_origins(first_day, last_day))
+    failed = gates.forecast_checks_by(forecast, zones, horizon, shape.airports, "origin").filter(~F.col("passed"))
+    if broken := [f"{row.check} on {row.day}" for row in failed.select("check", F.to_date("origin").alias("day")).take(10)]:
+        raise ValueError(f"Forecast failed validation: {', '.join(sorted(broken))}")
     forecast = scoring.matured(forecast, demand)
     joined = scoring.join_previous_week(scoring.join_actuals(forecast, demand), demand)
     return joined.withColumns(

@@ -68,3 +68,42 @@ def test_quantiles_of_a_hot_group_are_exact(trips):
     want = {r.DOLocationID: r.q for r in trips.groupBy("DOLocationID").agg(F.percentile("fare_amount", F.lit(0.95)).alias("q")).collect()}
     got = {r.DOLocationID: r.value for r in quantiles.exact_quantiles(trips, "fare_amount", (0.95,), "DOLocationID").collect()}
     assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("accuracy, cells, grid", [(10_000, 200_000, 500), (100, 50, 20), (200, 30, 10)])
+def test_selection_of_a_hot_group_needs_few_values_in_one_place(spark, monkeypatch, accuracy, cells, grid):
+    """One group with most rows over many tasks, a hot value and narrow brackets: several narrowing passes, exact results."""
+    for name, value in (("ACCURACY", accuracy), ("CELLS", cells), ("GRID", grid), ("WHOLE_GROUP", 100)):
+        monkeypatch.setattr(quantiles, name, value)
+    i = F.col("id")
+    df = spark.range(0, 40_000, 1, 16).select(
+        F.when(i % 20 == 0, F.lit(None).cast("string")).when(i % 400 == 1, F.lit("small")).otherwise(F.lit("hot")).alias("g"),
+        F.when(i % 3 == 0, 7.0).otherwise(F.pow(F.pmod(F.hash(i), F.lit(30_011)).cast("double"), F.lit(1.5))).alias("v"),
+    )
+    probabilities = (0.0, 0.25, 0.5, 0.9, 0.999, 1.0)
+    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probabilities))).alias("q")).collect()}
+    got = {(r.g, r.p): r.value for r in quantiles.exact_quantiles(df, "v", probabilities, "g").collect()}
+    assert got == pytest.approx({(g, p): x for g, q in want.items() for p, x in zip(probabilities, q)})
+    assert quantiles.exact_quantiles(df, "v", (0.5,)).first().value == pytest.approx(df.agg(F.percentile("v", F.lit(0.5))).first()[0])
+
+
+def test_quantile_plans_have_no_windows(trips):
+    text = quantiles.exact_quantiles(trips, "fare_amount", (0.5, 0.95), "DOLocationID")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text
+
+
+@pytest.mark.parametrize("sizes, rows", [([5, 5, 5], 7), ([1, 9, 3], 10), ([100], 30), ([2, 2], 50), ([], 3), ([1, 1, 50], 3)])
+def test_rounds_of_a_sample(sizes, rows):
+    level = sampling.rounds_needed(sizes, rows)
+    taken = lambda n: sum(min(s, n) for s in sizes)
+    assert taken(level) >= min(rows, sum(sizes)) and (level == 0 or taken(level - 1) < min(rows, sum(sizes)))
+
+
+def test_a_sample_ranks_only_what_its_thresholds_leave(trips):
+    ranked = sampling.rank_within_day(trips, "trip_id", key=("trip_id",))
+    day = F.to_date("tpep_pickup_datetime")
+    first = ranked.withColumn("d", day).orderBy("sample_rank", F.md5(F.col("d").cast("string")), "d").limit(3_000)
+    sample = sampling.stratified_sample(trips, 3_000, "trip_id", key=("trip_id",))
+    assert {r.trip_id for r in sample.select("trip_id").collect()} == {r.trip_id for r in first.select("trip_id").collect()}
+    plan = sample._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("_last")  # the threshold lies below the window
