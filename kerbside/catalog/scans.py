@@ -10,6 +10,7 @@ from kerbside.catalog.support import name_files_by_month, written
 from kerbside.catalog.tables import Tables, with_views
 from kerbside.functions import parsing
 from kerbside.operators import gold, silver
+from kerbside.plans import monthly_release
 from kerbside.session import scratch_path
 from kerbside.sources import digests, months, rank_feed, tables
 
@@ -280,6 +281,24 @@ def lineage_verify(t: Tables) -> DataFrame:
     return broken.select(F.element_at(F.split("path", "/"), -1).alias("file"), "status")
 
 
+@query(
+    "lineage_record",
+    with_views(
+        """SELECT 'hourly_zone_demand' AS product, count(*) AS rows, CAST(sum(trip_count) AS BIGINT) AS trips,
+          0 AS broken, CAST(sum(trip_count) AS BIGINT) AS trips_read FROM gold""",
+        "gold",
+    ),
+)
+def lineage_record(t: Tables) -> DataFrame:
+    """What the job that wrote Gold recorded, beside the product as it is read back once its record has been verified."""
+    silver_path, gold_path, record_path = (scratch_path(t.spark, name) for name in ("silver", "gold", "lineage"))
+    months.write_partitioned(silver.with_flags(t.trips, t.zones), silver_path)
+    record = monthly_release.write_gold(t.spark, silver_path, gold_path, record_path)
+    broken = digests.broken_lineage(t.spark, record).agg(F.count("*").cast("int")).scalar()
+    read = digests.read_product(t.spark, record).agg(F.sum("trip_count")).scalar()
+    return record.select("product", "rows", "trips").distinct().withColumns({"broken": broken, "trips_read": read})
+
+
 @query(
     "union_by_name",
     """SELECT l_orderkey AS order_id, l_shipdate AS at, l_quantity AS quantity, NULL AS price FROM lineitem

@@ -127,6 +127,7 @@ def forecast_checks_by(
     )
     expected = known.groupBy(key).agg(F.count("*").alias("zones"))
     sums = expected.join(hours, key, "full").join(counted, key, "left").na.fill(0)
+    # Names of the checks.
     checks = {
         "expected_row_count": F.col("rows") == F.col("zones") * horizon,
         "complete_zone_hour_grid": (F.col("hours") == horizon)

@@ -29,6 +29,7 @@ class CleaningLimits:
         return rules.Box(self.min_longitude, self.min_latitude, self.max_longitude, self.max_latitude)
 
 
+# Input column names.
 NUMERIC = (
     "trip_distance",
     "pickup_longitude",

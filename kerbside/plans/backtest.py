@@ -73,6 +73,7 @@ def fold_metrics(predictions: DataFrame, history: DataFrame) -> DataFrame:
     rows = scoring.join_previous_year(predictions, history)
     event, new_year = F.col("is_event_window") == 1, F.col("is_new_year_window") == 1
     everything, airport = F.lit(True), F.col("is_airport")
+    # Names of the scopes.
     scopes = {
         "baseline": (everything, "baseline_prediction"),
         "candidate": (everything, "candidate_prediction"),

@@ -47,10 +47,14 @@ class Fitted:
 
     def __call__(self, frame: DataFrame, output: str) -> DataFrame:
         require_columns(frame, self.features, "model features")
-        scored = self.model.transform(_assembled(frame, self.features), {self.model.predictionCol: "_raw"})
+        return self.score(_assembled(frame, self.features), output).drop("features")
+
+    def score(self, assembled: DataFrame, output: str) -> DataFrame:
+        """Add the prediction to a frame whose vector of features has been assembled."""
+        scored = self.model.transform(assembled, {self.model.predictionCol: "_raw"})
         # The model's column is named once, so that a choice between models evaluates only the chosen one for a row.
         count = F.exp(F.least(F.col("_raw") + self.offset, F.lit(MARGIN_LIMIT))) if self.log_link else F.greatest("_raw", F.lit(0.0))
-        return scored.withColumn(output, count).drop("_raw", "features")
+        return scored.withColumn(output, count).drop("_raw")
 
 
 def fit_boosted(frame: DataFrame, features: list[str], max_iter: int = 120, weight: str | None = None) -> Fitted:
@@ -161,17 +165,22 @@ class RoutedModel:
     def predict(self, frame: DataFrame, output: str = "prediction") -> DataFrame:
         """Add ``output`` and ``model_type``.
 
-        Every model's column is used in one branch of one choice only; the optimizer moves it there, so a row is scored by
-        the model of its route and by no other, without a pass over the rows for each route.
+        Features are assembled once and every model's column is used in one branch of one choice only. The optimizer moves
+        it there, so a row is scored by the model of its route and by no other, without a pass over the rows for each route.
         """
         models = self.by_route()
+        frame, chosen = frame.withColumn("model_type", self.route()), F
+        shared = {m.features if isinstance(m, Fitted) else None for m in models.values()}
+        together = len(shared) == 1 and None not in shared
+        if together:
+            frame = _assembled(require_columns(frame, *shared, "model features"), *shared)
         for kind, predictor in models.items():
-            frame = predictor(frame, f"_{kind}")
-        chosen = F
+            frame = predictor.score(frame, f"_{kind}") if together else predictor(frame, f"_{kind}")
         for kind in models:
             chosen = chosen.when(F.col("model_type") == kind, F.col(f"_{kind}"))
-        frame = frame.withColumn("model_type", self.route()).withColumn(output, chosen.otherwise(F.lit(None)))
-        return frame.withColumn(output, errors.clip(F.col(output))).drop(*[f"_{kind}" for kind in models])
+        frame = frame.withColumn(output, chosen.otherwise(F.lit(None)))
+        frame = frame.withColumn(output, errors.clip(F.col(output)))
+        return frame.drop(*[f"_{kind}" for kind in models], *(["features"] if together else []))
 
 
 def event_training(frame: DataFrame, threshold: float, airports: tuple[int, ...]) -> DataFrame:

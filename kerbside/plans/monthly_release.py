@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.operators import gates, gold, silver
-from kerbside.sources import months, tables
+from kerbside.sources import digests, months, tables, widening
 
 
 @dataclass(frozen=True)
@@ -17,6 +17,10 @@ class ReleasePaths:
     reports: str
     gold: str
 
+    @property
+    def lineage(self) -> str:
+        return self.gold.rstrip("/") + "_lineage"
+
 
 def existing_periods(spark: SparkSession, root: str) -> DataFrame:
     """Periods that have a ``year=/month=`` folder below ``root``; a listing, not a scan."""
@@ -52,8 +56,11 @@ def quality_report(bronze: DataFrame, enriched: DataFrame) -> DataFrame:
     return counts.join(checked, ["year", "month"]).withColumn("period", label)
 
 
+PRODUCT = "hourly_zone_demand"
+
+
 def publish_gold(spark: SparkSession, paths: ReleasePaths, wanted: DataFrame) -> DataFrame:
-    """Gate the release window and, if it passes, write Gold; returns its totals.
+    """Gate the release window and, if it passes, write Gold and its lineage; returns its totals.
 
     The window covers the wanted months and every month already in Silver.
     """
@@ -62,6 +69,16 @@ def publish_gold(spark: SparkSession, paths: ReleasePaths, wanted: DataFrame) ->
     verdict = gates.completeness(window, gates.quality_verdict(gates.quality_checks(reports))).first()
     if not verdict.passed:
         raise RuntimeError("Quality gate failed; Gold release was not updated")
-    product = gold.hourly_zone_demand(months.read_partitioned(spark, paths.silver))
-    months.write_sorted(product, paths.gold, "pickup_hour", "pickup_zone_id")
-    return gold.product_totals(spark.read.parquet(paths.gold))
+    return write_gold(spark, paths.silver, paths.gold, paths.lineage).select("rows", "trips").distinct()
+
+
+def write_gold(spark: SparkSession, silver_path: str, gold_path: str, lineage_path: str) -> DataFrame:
+    """Gold of all months in Silver, then its lineage record, which is returned.
+
+    Rows and trips are those that the writing job saw.
+    """
+    sources = widening.data_files(spark, silver_path)
+    product = gold.hourly_zone_demand(months.read_partitioned(spark, silver_path))
+    measures = {"rows": F.count(F.lit(1)), "trips": F.coalesce(F.sum("trip_count"), F.lit(0))}
+    totals = months.write_sorted(product, gold_path, "pickup_hour", "pickup_zone_id", measures=measures)
+    return digests.write_lineage(spark, PRODUCT, sources, widening.data_files(spark, gold_path), totals, lineage_path)

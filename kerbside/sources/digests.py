@@ -1,10 +1,11 @@
-"""File digests and lineage checks."""
+"""File digests, lineage records and their checks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kerbside.sources import widening
+from kerbside.sources.widening import data_files
 
 
 def file_digests(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
@@ -23,6 +24,46 @@ def file_digests(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
     )
 
 
+def digests_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file_digests`` of named files."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+SOURCE, OUTPUT = "source", "output"
+
+
+def write_lineage(spark: SparkSession, product: str, sources: list[str], outputs: list[str], totals: dict, path: str) -> DataFrame:
+    """Record what a product was made from and consists of: a row per file with its digest, and the product's totals.
+
+    Written after the product. Where a run stops in between, the digests of the older record no longer fit the product's
+    files, so that the checks below refuse it.
+    """
+    made = [digests_of(spark, files).withColumn("kind", F.lit(kind)) for kind, files in ((SOURCE, sources), (OUTPUT, outputs))]
+    record = made[0].unionByName(made[1]).withColumns(
+        {"product": F.lit(product), **{name: F.lit(value).cast("long") for name, value in totals.items()}, "generated_at": F.current_timestamp()}
+    )
+    record.coalesce(1).write.mode("overwrite").parquet(path)  # a row per monthly file
+    return spark.read.parquet(path)
+
+
+def broken_lineage(spark: SparkSession, lineage: DataFrame) -> DataFrame:
+    """Recorded sources and outputs that are gone or no longer have the recorded digest, as (kind, path, status)."""
+    there = [row.path for row in lineage.select("path").distinct().toLocalIterator() if data_files(spark, row.path)]
+    found = digests_of(spark, there) if there else lineage.limit(0)
+    broken = lineage_mismatches(lineage, found.select("path", "sha256"))
+    return lineage.select("path", "kind").join(broken, "path").select("kind", "path", "status")
+
+
+def read_product(spark: SparkSession, lineage: DataFrame) -> DataFrame:
+    """The product of a lineage record, after all its sources and outputs have been verified."""
+    broken = broken_lineage(spark, lineage).take(5)
+    if broken:
+        raise ValueError(f"Lineage check failed: {[tuple(row) for row in broken]}")
+    outputs = lineage.filter(F.col("kind") == OUTPUT)
+    return read_declared(spark, outputs, outputs)
+
+
 def latest_records(manifest: DataFrame, *new: DataFrame) -> DataFrame:
     """Manifest with the most recent record per path."""
     for frame in new:

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from kerbside.functions import clock, parsing
 from kerbside.sources import widening
@@ -148,15 +148,17 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "
     )
 
 
-def write_sorted(df: DataFrame, path: str, *order: str) -> None:
-    """ZSTD Parquet whose files hold consecutive, internally sorted key ranges."""
-    (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+def write_sorted(df: DataFrame, path: str, *order: str, measures: dict[str, Column] | None = None) -> dict:
+    """ZSTD Parquet whose files hold consecutive, internally sorted key ranges.
+
+    Returns the aggregates ``measures`` over the rows written. They are observed by the writing job itself, behind its
+    exchange, where neither the sampling of key ranges nor a repeated stage adds to them.
+    """
+    ordered, seen = df.repartitionByRange(*order).sortWithinPartitions(*order), Observation()
+    if measures:
+        ordered = ordered.observe(seen, *[value.alias(name) for name, value in measures.items()])
+    ordered.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return dict(seen.get) if measures else {}
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -169,8 +169,10 @@ def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
-    """The Parquet files at or below a path, but for hidden ones."""
+    """The Parquet files at or below a path, but for hidden ones; none where there is no such path."""
     system, root = _files(spark, path)
+    if not system.exists(root):
+        return []
     listed, found = system.listFiles(root, True), []
     while listed.hasNext():
         name = listed.next().getPath()
