@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -74,12 +76,20 @@ def slices(batch: pa.RecordBatch, sized: int) -> Iterator[pa.RecordBatch]:
     yield batch.slice(begin)
 
 
-def annotate(df: DataFrame, value, make: Callable, fields: str, prefix: str = "") -> DataFrame:
+def give_back() -> None:
+    """Return a worker's freed memory to the system. Workers outlive their tasks, and idle ones count for their executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def annotate(df: DataFrame, value, make: Callable, fields: str, prefix: str = "", done: Callable | None = None) -> DataFrame:
     """Every row and column of ``df`` with columns computed from ``value``, in one Arrow pass and without a shuffle.
 
     ``value`` is a Column (bytes or text). ``make()`` runs once in each task and gives a function from a list of
     values to a list of columns. ``fields`` is a DDL schema of these; their names get ``prefix``. A column of ``df``
-    that has such a name is replaced.
+    that has such a name is replaced. ``done()`` runs at the end of each task.
     """
     ship(df.sparkSession)
     out = StructType.fromDDL(fields)
@@ -101,6 +111,9 @@ def annotate(df: DataFrame, value, make: Callable, fields: str, prefix: str = ""
                     types = [_arrow(f.dataType.simpleString()) for f in out]
                 made = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)]
                 yield pa.RecordBatch.from_arrays(part.columns[1:] + made, names=kept + [f.name for f in out])
+        if done:
+            del work
+            done()
 
     return df.select(value.alias(hidden), *[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kerbside.llm.common import annotate, ship, slices, utf8
+from kerbside.llm.common import annotate, give_back, ship, slices, utf8
 from kerbside.llm.components import components
 from kerbside.session import stored
 
@@ -45,7 +45,7 @@ SKETCH_BITS = 512
 SKIP = 64  # neighbours in a list that are skipped together
 BROADCAST_SETS = 200_000  # nodes (8 bytes each) that may be broadcast
 
-_WORDS_KEPT = 300_000
+_WORDS_KEPT = 100_000
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _SHIFT = np.uint64(31)
 
@@ -128,7 +128,7 @@ def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
         return work
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), utf8(text).alias("text"))
-    sets = annotate(rows, F.col("text"), make, "n long, sid binary, node long, tokens binary, sketch binary").drop("text")
+    sets = annotate(rows, F.col("text"), make, "n long, sid binary, node long, tokens binary, sketch binary", done=give_back).drop("text")
     return stored(sets, "shingle-sets")
 
 
@@ -146,6 +146,8 @@ def _frequent(sets: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
                     held, size = [], 0
         if held:
             yield rows(held)
+        del held
+        give_back()
 
     def rows(held):
         tokens, n = np.unique(np.concatenate(held), return_counts=True)
@@ -170,6 +172,7 @@ def _postings(sets: DataFrame, frequent, least) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 2):
                 yield from rows(part)
+        give_back()
 
     def rows(batch):
         nodes, sizes = np.asarray(batch.column(0), np.int64), np.asarray(batch.column(1), np.int64)
@@ -311,6 +314,8 @@ def _candidates(lists: DataFrame, least) -> DataFrame:
                 held, rows = [table.slice(whole)], rows - whole
         if rows:
             yield from found(pa.concat_tables(held))
+        del held
+        give_back()
 
     def found(table):
         lists_ = _Lists(table, least)
@@ -340,6 +345,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least, label: str) -> DataFrame
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(least[1] * both >= least[0] * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(ok))
+        give_back()
 
     with_a = pairs.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     with_b = with_a.join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
