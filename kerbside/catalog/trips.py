@@ -409,11 +409,18 @@ def union_distinct_ids(t: Tables) -> DataFrame:
     return ends.distinct()
 
 
-@query("null_profile", with_views(
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_rows FROM trips"
-        for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "fare_amount", "total_amount")
-    ), "trips"))
+_TRIP_COLUMNS = (
+    "trip_id", "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance", "RatecodeID",
+    "PULocationID", "DOLocationID", "payment_type", "fare_amount", "tip_amount", "tolls_amount", "total_amount", "year", "month",
+)
+
+
+@query(
+    "null_profile",
+    with_views(
+        " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_rows FROM trips" for c in _TRIP_COLUMNS), "trips"
+    ),
+)
 def null_profile(t: Tables) -> DataFrame:
-    names = ("tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance", "fare_amount", "total_amount")
-    return profile.null_counts(t.trips.select(*names))
+    """Every column of the trips."""
+    return profile.null_counts(t.trips)
