@@ -252,3 +252,13 @@ def stream_hourly_demand(t: Tables) -> DataFrame:
     trips = hourly.read_stream(t.spark, files, t.trips.schema, files_per_batch=1)
     hourly.run_available(trips, t.zones, output, checkpoint)
     return hourly.demand_so_far(t.spark, output, "2 HOUR")
+
+
+@query("stream_snapshots", with_views("SELECT * FROM gold", "gold"))
+def stream_snapshots(t: Tables) -> DataFrame:
+    """All governed demand of a stream that has folded its batches twice on the way."""
+    files = written(t.trips.repartition(6), "arriving")
+    output, checkpoint = scratch_path(t.spark, "stream-out"), scratch_path(t.spark, "stream-state")
+    trips = hourly.read_stream(t.spark, files, t.trips.schema, files_per_batch=1)
+    hourly.run_available(trips, t.zones, output, checkpoint, batches_per_snapshot=2)
+    return hourly.demand_so_far(t.spark, output)

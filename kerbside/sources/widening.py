@@ -158,19 +158,19 @@ def _as(field: T.StructField, name: str, kind: T.DataType):
 # -- listings: metadata of folders, read by the driver ----------------------------------------------------------------
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
 def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
-    system, path = _files(spark, pattern)
+    system, path = file_system(spark, pattern)
     return sorted(s.getPath().toString() for s in system.globStatus(path) or [] if s.isDirectory())
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """The Parquet files at or below a path, but for hidden ones; none where there is no such path."""
-    system, root = _files(spark, path)
+    system, root = file_system(spark, path)
     if not system.exists(root):
         return []
     listed, found = system.listFiles(root, True), []

@@ -42,7 +42,7 @@ def test_observed_totals_count_each_row_once(spark, tmp_path):
 @pytest.mark.parametrize("kind", ["source", "output"])
 def test_changed_and_missing_files_are_refused(spark, release, kind):
     source, product, _, record = release
-    system, path = widening._files(spark, record.filter(F.col("kind") == kind).first().path)
+    system, path = widening.file_system(spark, record.filter(F.col("kind") == kind).first().path)
     from pathlib import Path
 
     local = Path(path.toUri().getPath())
