@@ -270,6 +270,23 @@ def file_digests(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "digests_known",
+    """SELECT CAST(c_custkey // 100 AS BIGINT) AS file, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS bytes,
+      sha256(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS sha256, 1 AS copies
+    FROM customer GROUP BY 1""",
+)
+def digests_known(t: Tables) -> DataFrame:
+    """Digests of files of known content, a hundred customers each: full files in blocks, the others whole."""
+    lines = t.base("customer").select(F.floor(F.col("c_custkey") / 100).alias("file"), "c_custkey", "c_name")
+    path = scratch_path(t.spark, "known-files")
+    listed = lines.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))).alias("_of"))
+    listed.select("file", F.array_join("_of.c_name", "\n").alias("value")).write.partitionBy("file").text(path)
+    found = digests.file_digests(t.spark, path, "*.txt", whole_bytes=1_800, block_bytes=500)
+    number = F.regexp_extract("path", r"file=(\d+)", 1).cast("long").alias("file")
+    return found.groupBy(number, "bytes", "sha256").agg(F.count("*").cast("int").alias("copies"))
+
+
 @query("lineage_verify")
 def lineage_verify(t: Tables) -> DataFrame:
     """Declared digests of the table files, with one changed and one that no longer exists."""
