@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from kerbside.llm.common import annotate, ship, utf8
-from kerbside.session import scratch_path, stored
+from kerbside.llm.common import annotate, ship, slices, utf8
+from kerbside.session import broadcast_if_small, scratch_path, stored
 
 CHUNK_BYTES = 1 << 16
 ARCHIVE_BYTES = 1 << 30  # an archive is closed once it has so many payload bytes
+READ_TASKS = 100_000
 DATE = "1970-01-01T00:00:00Z"
 
 CHUNKS = (
@@ -72,14 +73,16 @@ def _decided(pages: DataFrame, id: str, url: str, payload: str, min_bytes: int,
         utf8(payload).alias("payload"),
     )
     keyed = annotate(rows, F.col("payload"), make, "payload_bytes long, payload_digest string")
-    firsts = (
+    # Usually far fewer than the pages: stored once, and joined without moving payloads while their size is proven small.
+    firsts = broadcast_if_small(
         annotate(rows.drop("url"), F.col("payload"), make, "payload_bytes long, payload_digest string")
         .drop("payload")
         .where(F.col("payload_bytes") >= min_bytes)
         .groupBy("payload_digest", "payload_bytes")
         .agg(F.max("record_id").alias("kept_id"), F.count("*").alias("copies"))
         .where("copies > 1 AND kept_id IS NOT NULL")
-        .select("payload_digest", "payload_bytes", "kept_id")
+        .select("payload_digest", "payload_bytes", "kept_id"),
+        store="warc-copies",
     )
     revisit = F.col("kept_id").isNotNull() & ~F.col("kept_id").eqNullSafe(F.col("record_id"))
     return keyed.join(firsts, ["payload_digest", "payload_bytes"], "left").select(
@@ -113,14 +116,14 @@ def record_chunks(
 
     def cut(batches):
         def rows():
-            for batch in batches:
-                for record, link, kind, refers, size, digest, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for part in (part for batch in batches for part in slices(batch, 6)):
+                for record, link, kind, refers, size, digest, data in zip(*(c.to_pylist() for c in part.columns)):
                     sha, view = hashlib.sha1(), memoryview(data if kind == "response" else b"")
                     for number, at in enumerate(range(0, max(len(view), 1), chunk_bytes)):
-                        part = bytes(view[at : at + chunk_bytes])
-                        sha.update(part)
-                        end = at + len(part)
-                        yield record, link, kind, refers, size, digest, number, part, end, base32(sha.digest()), end == len(view)
+                        piece = bytes(view[at : at + chunk_bytes])
+                        sha.update(piece)
+                        end = at + len(piece)
+                        yield record, link, kind, refers, size, digest, number, piece, end, base32(sha.digest()), end == len(view)
 
         return _bounded(rows())
 
@@ -270,11 +273,18 @@ def _archive_chunks(path: str, chunk_bytes: int):
             source.line(), source.line()
 
 
-def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The chunked record table of the archives that a manifest names. Each archive is read by one task."""
-    ship(manifest.sparkSession)
+def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES, most_tasks: int = READ_TASKS) -> DataFrame:
+    """The chunked record table of the archives that a manifest names, read by as many tasks as there are archives.
+
+    Archives are dealt in turn; only beyond ``most_tasks`` does a task read several, one after the other.
+    """
+    spark = manifest.sparkSession
+    ship(spark)
 
     def read(batches):
         return _bounded(row for batch in batches for path in batch.column(0).to_pylist() for row in _archive_chunks(path, chunk_bytes))
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(read, CHUNKS)
+    paths = manifest.select("path")
+    tasks = max(1, min(paths.count(), most_tasks))
+    # A row per archive: one partition deals them in strict turn, and a stated number of tasks isn't merged at run time.
+    return paths.coalesce(1).repartition(tasks).mapInArrow(read, CHUNKS)

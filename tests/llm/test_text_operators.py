@@ -7,6 +7,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kerbside.llm import bpe, fingerprints, token_counts, url_filters, warc
@@ -135,7 +136,10 @@ def test_likeness_tells_edits_from_others():
     assert fingerprints.likeness(plain[:-1], plain[1:]).max() < 0.25
 
 
-def test_archives_round_trip(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_archives_round_trip(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr("kerbside.session.BROADCAST_BYTE_LIMIT", -1)
     payloads = [None, "", "<p>a</p>", "<p>a</p>", "é" * 100_000, "é" * 100_000, "line\r\n\r\nWARC/1.1\r\n", "x"]
     data = [(i, "http://h/\r\n" if i == 6 else None if i == 7 else f"http://h/{i}", p, "own") for i, p in enumerate(payloads)]
     data += [(3, "http://h/again", "<p>a</p>", "own"), (None, "http://h/none", "x", "own"), (None, "http://h/none", "y", "own")]
@@ -164,6 +168,27 @@ def test_archives_round_trip(spark):
     assert warc.read_archives(warc.write_archives(warc.record_chunks(pages.limit(0)))).count() == 0
 
 
+@pytest.mark.parametrize("most, tasks", [(100, 9), (4, 4)])
+def test_archives_are_read_side_by_side(spark, most, tasks):
+    """Every archive has a task of its own, and beyond the bound all tasks have their share."""
+    pages = spark.range(0, 90, 1, 9).selectExpr("id AS page_id", "'u' AS url", "repeat(string(id), 100) AS html")
+    manifest = warc.write_archives(warc.record_chunks(pages))
+    assert manifest.count() == 9
+    read = warc.read_archives(manifest, most_tasks=most).withColumn("task", F.spark_partition_id())
+    records = {r.task: r.records for r in read.where("last").groupBy("task").agg(F.count("*").alias("records")).collect()}
+    assert len(records) == tasks and sum(records.values()) == 90 and max(records.values()) <= 10 * -(-9 // tasks)
+
+
+def test_large_pages_of_one_batch(spark):
+    """Pages above the slice size meet in one batch; each goes through in chunks."""
+    pages = spark.range(0, 3, 1, 1).selectExpr("id AS page_id", "'u' AS url", "repeat(string(id), 20000000) AS html")
+    chunks = warc.read_archives(warc.write_archives(warc.record_chunks(pages)))
+    found = {r.record_id: r for r in chunks.where("last").select("record_id", "payload_bytes", "digest_so_far", "chunk_no").collect()}
+    for i in range(3):
+        digest = base64.b32encode(hashlib.sha1(str(i).encode() * 20_000_000).digest()).decode()
+        assert (found[i].payload_bytes, found[i].digest_so_far, found[i].chunk_no) == (20_000_000, digest, 20_000_000 // 65_536)
+
+
 def test_a_damaged_archive_is_noticed(spark):
     import gzip
 
