@@ -11,29 +11,35 @@ from kerbside.functions import clock
 from kerbside.operators import rank_history
 from kerbside.sources import rank_feed
 
-# The usable records of the documents, typed independently of the operator.
-_BASE = """SELECT 'event-' || CAST(event_id AS VARCHAR) AS source_file, event_id,
-    CASE WHEN rank_id = 'N/A' THEN NULL ELSE rank_id END AS rank_id, lower(class) AS class,
-    CASE WHEN total = 'None' THEN NULL ELSE total END AS total,
+# The usable records of the documents, typed independently of the operator: measures as one long table, counted per record.
+_BASE = """SELECT event_id, 'event-' || CAST(event_id AS VARCHAR) AS source_file, lower(class) AS class, lower(class) = 'passenger' AS banded,
+    nullif(rank_id, 'N/A') AS rank_id, nullif(tsn, 'N/A') AS tsn, nullif(comments, 'None') AS comments,
+    TRY_CAST(total_bays AS DOUBLE) AS total_bays,
     TRY_CAST(replace(replace(start_time, 'T', ' '), 'Z', '') AS TIMESTAMP) AS s,
     TRY_CAST(replace(replace(end_time, 'T', ' '), 'Z', '') AS TIMESTAMP) AS e,
     CASE WHEN event_id % 89 = 0 THEN NULL ELSE TRY_CAST(average_wait AS DOUBLE) END AS wait
   FROM rank_rows WHERE event_id % 101 <> 0"""
-_BAND = "CASE total WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 END"
-_SILVER = f"""SELECT source_file, rank_id, class, s AS start_time_utc, s + INTERVAL 11 HOUR AS start_time_sydney,
-    total AS total_raw, CASE WHEN class <> 'passenger' THEN TRY_CAST(total AS DOUBLE) END AS total_count,
-    CASE WHEN class = 'passenger' THEN {_BAND} END AS total_band, wait AS average_wait_seconds,
-    rank_id IS NULL AS dq_missing_rank_id, class NOT IN ('taxi', 'passenger', 'wat') AS dq_unknown_class,
-    s IS NULL OR e IS NULL AS dq_invalid_timestamp, coalesce(epoch(e) - epoch(s) <> 900, TRUE) AS dq_invalid_interval,
-    class = 'passenger' AND {_BAND} IS NULL AS dq_invalid_passenger_band,
-    class <> 'passenger' AND TRY_CAST(total AS DOUBLE) IS NULL AS dq_invalid_numeric_count,
-    coalesce(wait < 0, FALSE) AS dq_negative_wait FROM ({_BASE})"""
-_COLUMNS = [
-    "source_file", "rank_id", "class", "start_time_utc", "start_time_sydney", "total_raw", "total_count", "total_band",
-    "average_wait_seconds", "dq_missing_rank_id", "dq_unknown_class", "dq_invalid_timestamp", "dq_invalid_interval",
-    "dq_invalid_passenger_band", "dq_invalid_numeric_count", "dq_negative_wait",
+_MEASURES = """SELECT event_id, banded, measure, raw, CASE WHEN NOT banded THEN TRY_CAST(raw AS DOUBLE) END AS number,
+    CASE WHEN banded THEN list_position(['Low', 'Medium', 'High'], raw) - 1 END AS band
+  FROM (SELECT event_id, class = 'Passenger' AS banded,
+      unnest(['from_previous', 'total', 'new_arrivals']) AS measure,
+      unnest([CASE WHEN m NOT IN ('', 'N/A', 'None') THEN m END FOR m IN [from_previous_count, total, new_arrivals]]) AS raw
+    FROM rank_rows)"""
+_WIDE = f"""SELECT event_id, {", ".join(
+    f"max({value}) FILTER (WHERE measure = '{name}') AS {name}_{suffix}"
+    for name in ("from_previous", "total", "new_arrivals") for value, suffix in (("raw", "raw"), ("number", "count"), ("band", "band"))
+  )}, count(*) FILTER (WHERE banded AND band IS NULL) > 0 AS dq_invalid_passenger_band,
+    count(*) FILTER (WHERE NOT banded AND number IS NULL) > 0 AS dq_invalid_numeric_count FROM ({_MEASURES}) GROUP BY 1"""
+_SILVER = f"""SELECT rank_id, tsn, comments, total_bays, s AS start_time_utc, e AS end_time_utc,
+    s + INTERVAL 11 HOUR AS start_time_sydney, e + INTERVAL 11 HOUR AS end_time_sydney, class, wide.* EXCLUDE (event_id),
+    wait AS average_wait_seconds, source_file, rank_id IS NULL AS dq_missing_rank_id,
+    class NOT IN ('taxi', 'passenger', 'wat') AS dq_unknown_class, s IS NULL OR e IS NULL AS dq_invalid_timestamp,
+    coalesce(epoch(e) - epoch(s) <> 900, TRUE) AS dq_invalid_interval, coalesce(wait < 0, FALSE) AS dq_negative_wait
+  FROM ({_BASE}) JOIN ({_WIDE}) wide USING (event_id)"""
+_FLAGS = [
+    "dq_missing_rank_id", "dq_unknown_class", "dq_invalid_timestamp", "dq_invalid_interval", "dq_invalid_passenger_band",
+    "dq_invalid_numeric_count", "dq_negative_wait",
 ]
-_FLAGS = [c for c in _COLUMNS if c.startswith("dq_")]
 
 
 def history(t: Tables) -> DataFrame:
@@ -43,7 +49,8 @@ def history(t: Tables) -> DataFrame:
 
 @query("history_normalize", with_views(_SILVER, "rank_rows"))
 def history_normalize(t: Tables) -> DataFrame:
-    return history(t).select(*_COLUMNS)
+    """All columns of the normalised history."""
+    return history(t)
 
 
 @query(

@@ -584,17 +584,25 @@ def head_slice(t: Tables) -> DataFrame:
     return sampling.head_slice(t.base("events").select("event_id", "value"), 500, "event_id")
 
 
+_CATEGORIES = {"pickup_day_of_week": "dayname(pickup_datetime)"} | {f"{end}_borough": _borough_sql(end) for end in rules.ENDS}
+
+
 @_featured(
     "one_hot",
     "SELECT trip_id, "
     + ", ".join(
-        f"CASE WHEN dayname(pickup_datetime) = '{d}' THEN 1 ELSE 0 END AS \"pickup_day_of_week_{d}\""
-        for d in ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+        f"coalesce({_CATEGORIES[column]} = '{level}', FALSE)::INT AS \"{column}_{level}\""
+        for column, levels in money_models.ENCODED.items()
+        for level in levels
     )
     + " FROM featured",
 )
 def one_hot(t: Tables) -> DataFrame:
-    return profile.one_hot(featured(t).select("trip_id", "pickup_day_of_week"), "pickup_day_of_week", money_models.WEEKDAYS)
+    """The three encoded categories of the fare and tip models, in the columns that these see."""
+    encoded = legacy.with_boroughs(featured(t)).select("trip_id", *money_models.ENCODED)
+    for column, levels in money_models.ENCODED.items():
+        encoded = profile.one_hot(encoded, column, levels)
+    return encoded
 
 
 _BUCKET = "CAST(('0x' || substr(md5(CAST(trip_id AS VARCHAR)), 1, 7)) AS BIGINT) % 100"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.catalog.registry import query
 from kerbside.catalog.support import name_files_by_month, written
@@ -113,10 +113,9 @@ def validate_dimension(t: Tables) -> DataFrame:
 
 def rank_documents(t: Tables) -> DataFrame:
     """One document per event with a good record and one that may miss a key or the array."""
-    base = ["rank_id", "class", "total", "start_time", "end_time", "average_wait"]
-    fixed = [F.lit("12").alias("total_bays"), F.col("total").alias("from_previous_count"), F.col("total").alias("new_arrivals")]
-    good = F.struct(*base, *fixed)
-    short = F.struct(*base[:-1], *fixed)
+    keys = [c for c in t.rank_rows.columns if c not in ("event_id", "ts")]
+    good = F.struct(*keys)
+    short = F.struct(*[key for key in keys if key != "average_wait"])
     event = F.col("event_id")
     text = (
         F.when(event % 101 == 0, F.to_json(F.struct(good.alias("something_else"))))
@@ -342,6 +341,20 @@ def sorted_product(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "sorted_product_ranges",
+    with_views("SELECT 0 AS overlaps, count(*) AS rows, min(h) AS first_hour, max(h) AS last_hour FROM (SELECT pickup_hour AS h FROM hourly)", "hourly"),
+)
+def sorted_product_ranges(t: Tables) -> DataFrame:
+    """Files of the sorted product that begin before the file in front of them has ended, beside the hours and rows of all."""
+    behind = Window.orderBy("first_hour", "last_hour")  # a row per file
+    files = sorted_product(t).withColumn("overlap", F.col("first_hour") < F.lag("last_hour").over(behind))
+    return files.agg(
+        F.count_if("overlap").cast("int").alias("overlaps"), F.sum("rows").alias("rows"),
+        F.min("first_hour").alias("first_hour"), F.max("last_hour").alias("last_hour"),
+    )
+
+
 @query(
     "period_from_name",
     """SELECT 2024 AS year, 1 AS month, TIMESTAMP '2024-01-01 00:00:00' AS first_instant,

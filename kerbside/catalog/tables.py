@@ -95,7 +95,14 @@ _VIEWS = {
           CASE WHEN event_id % 83 = 0 THEN 'soon' ELSE {iso_start} END AS start_time,
           CASE WHEN event_id % 67 = 0 THEN {iso_late} ELSE {iso_end} END AS end_time,
           CASE WHEN event_id % 29 = 0 THEN '-1' WHEN event_id % 31 = 0 THEN '' ELSE CAST(event_id % 600 AS STRING) END
-            AS average_wait
+            AS average_wait,
+          CASE WHEN event_id % 17 = 0 THEN 'N/A' ELSE CAST(1000 + event_id % 50 AS STRING) END AS tsn,
+          CASE WHEN event_id % 5 = 0 THEN 'lane closed' ELSE 'None' END AS comments,
+          CASE WHEN event_id % 43 = 0 THEN 'few' ELSE CAST(4 + event_id % 9 AS STRING) END AS total_bays,
+          CASE WHEN event_id % 3 = 0 THEN CASE event_id % 5 WHEN 0 THEN 'High' WHEN 1 THEN 'Low' WHEN 2 THEN '' ELSE 'Medium' END
+               ELSE CAST(event_id % 19 AS STRING) END AS from_previous_count,
+          CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 7 = 0 THEN 'Medium' ELSE 'Low' END
+               WHEN event_id % 53 = 0 THEN 'N/A' ELSE CAST(event_id % 29 AS STRING) END AS new_arrivals
         FROM {events}""",
 }
 

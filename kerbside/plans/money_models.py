@@ -35,8 +35,11 @@ FLAGS = [f"is_{end}_{name}" for name in rules.AIRPORT_BOXES for end in rules.END
 ENCODED = {"pickup_day_of_week": WEEKDAYS, "pickup_borough": BOROUGHS, "dropoff_borough": BOROUGHS}
 
 
-def model_table(trips: DataFrame, target: str, key: str) -> tuple[DataFrame, list[str]]:
-    """Numeric feature columns for one target; the tip model also sees fare and surcharge."""
+def model_table(trips: DataFrame, target: str, key: str, only: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """Numeric feature columns for one target; the tip model also sees fare and surcharge.
+
+    ``only`` names the features to keep. Rows that miss one of the features or the target are dropped.
+    """
     extra = ["fare_amount", "surcharge"] if target == "tip_amount" else []
     enriched = legacy.with_airport_flags(legacy.with_boroughs(legacy.add_trip_features(trips)))
     features = [*NUMERIC, *extra, *FLAGS]
@@ -44,7 +47,8 @@ def model_table(trips: DataFrame, target: str, key: str) -> tuple[DataFrame, lis
     for column, levels in ENCODED.items():
         table = profile.one_hot(table, column, levels)
         features += [f"{column}_{level}" for level in levels]
-    return table.na.drop(), features
+    features = only or features
+    return table.select(key, "label", *features).na.drop(), features
 
 
 def mean_baseline_rmse(train: DataFrame, test: DataFrame, label: str = "label") -> DataFrame:
@@ -68,8 +72,10 @@ def regressors(rows: int, trees: int, depth: int) -> dict:
 class MoneyModels:
     """Fitted models of one target over a fixed 70/30 split."""
 
-    def __init__(self, trips: DataFrame, target: str, key: str, trees: int = 50, depth: int = 10):
-        table, self.features = model_table(trips, target, key)
+    def __init__(
+        self, trips: DataFrame, target: str, key: str, trees: int = 50, depth: int = 10, only: list[str] | None = None
+    ):
+        table, self.features = model_table(trips, target, key, only)
         assembler = VectorAssembler(inputCols=self.features, outputCol="features")
         table = stored(assembler.transform(table).select(key, "label", "features"), f"{target}-vectors")
         self.train, self.test = sampling.hash_split(table, key)
@@ -96,11 +102,8 @@ class MoneyModels:
         table = self.train.sparkSession.createDataFrame(rows, "feature string, importance double")
         return table.orderBy(F.desc("importance"), "feature")
 
-    def grid_search(self, grid: dict[str, list] | None = None, folds: int = 5, rows: int = 500_000) -> DataFrame:
-        """Cross-validated RMSE of forests over a parameter grid.
-
-        Only the tuning uses a subset: about ``rows`` training rows, chosen by hash.
-        """
+    def grid_search(self, grid: dict[str, list] | None = None, folds: int = 5) -> DataFrame:
+        """Cross-validated RMSE of forests over a parameter grid, from all training rows."""
         forest = RandomForestRegressor(seed=SEED)
         grid = grid or {
             "featureSubsetStrategy": ["20", "25", "all"],
@@ -119,9 +122,7 @@ class MoneyModels:
             parallelism=4,
             seed=SEED,
         )
-        share = min(1.0, rows / max(self.train.count(), 1))
-        subset = sampling.hash_share(self.train, self.train.columns[0], share)
-        scores = search.fit(stored(subset, "grid-subset")).avgMetrics
+        scores = search.fit(self.train).avgMetrics
         found = [
             (*[str(point[forest.getParam(name)]) for name in grid], float(score))
             for point, score in zip(points, scores)
