@@ -389,19 +389,28 @@ def clip_nonnegative(t: Tables) -> DataFrame:
     return t.forecast.select(ZONE, "forecast_hour", clipped.alias("clipped"))
 
 
+_SHIFTS = {"current": 0, "partly": 3, "future": 60}
+
+
 @query(
     "maturity_filter",
     with_views(
-        """SELECT 'current' AS variant, 'scored' AS status, count(*) AS scored_rows FROM scored
-        UNION ALL SELECT 'future', 'waiting_for_actuals', 0""",
-        "scored",
+        f"""SELECT variant, CASE WHEN count(*) FILTER (WHERE ready) = 0 THEN 'waiting_for_actuals' ELSE 'scored' END AS status,
+          count(*) FILTER (WHERE ready) AS scored_rows
+        FROM (SELECT variant, forecast_hour + to_days(days) <= (SELECT max(pickup_hour) FROM demand) AS ready
+          FROM forecast, (VALUES {", ".join(f"('{name}', {days})" for name, days in _SHIFTS.items())}) shifts(variant, days))
+        GROUP BY 1""",
+        "forecast",
+        "demand",
     ),
 )
 def maturity_filter(t: Tables) -> DataFrame:
-    future = t.forecast.withColumn("forecast_hour", clock.shift("forecast_hour", days=60))
-    now = scoring.maturity_status(t.forecast, t.demand).withColumn("variant", F.lit("current"))
-    later = scoring.maturity_status(future, t.demand).withColumn("variant", F.lit("future"))
-    return now.unionByName(later).select("variant", "status", "scored_rows")
+    """Forecasts of the past days, and the same ones some days and many days later."""
+    parts = []
+    for variant, days in _SHIFTS.items():
+        later = t.forecast.withColumn("forecast_hour", clock.shift("forecast_hour", days=days))
+        parts.append(scoring.maturity_status(later, t.demand).withColumn("variant", F.lit(variant)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("variant", "status", "scored_rows")
 
 
 @_scored("join_actuals", "SELECT pickup_zone_id, forecast_hour, trip_count FROM scored")

@@ -91,11 +91,6 @@ def head_slice(df: DataFrame, rows: int, *key: str) -> DataFrame:
     return df.orderBy(rules.stable_key(*key), *key).limit(rows)
 
 
-def hash_share(df: DataFrame, key: str, share: float) -> DataFrame:
-    """About ``share`` of the rows, chosen by the hash of a key."""
-    return df.filter(rules.hash_bucket(F.concat(F.lit("share"), F.col(key)), 1_000_000) < int(share * 1_000_000))
-
-
 def hash_split(df: DataFrame, key: str, train_share: int = 70) -> tuple[DataFrame, DataFrame]:
     """Row split by hash of a key, independent of partitioning and row order."""
     bucket = rules.hash_bucket(key)
