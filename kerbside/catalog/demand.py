@@ -734,6 +734,29 @@ def release_decision(t: Tables) -> DataFrame:
     return gates.release_checks(backtest.fold_metrics(fold_rows(t), day_history(t)))
 
 
+# The decision on a backtest's own folds, with the predictors of closed form of ``rolling_backtest_lags``: a fold's threshold
+# comes from the rows before its month.
+BACKTEST_RELEASE = _chain(
+    "SELECT bool_and(passed) AS passed, coalesce(string_agg(CASE WHEN NOT passed THEN name END, ',' ORDER BY name), '') AS failed,"
+    " CASE WHEN bool_and(passed) THEN 'awaiting_human_approval' ELSE 'blocked' END AS status,"
+    " CASE WHEN NOT bool_and(passed) THEN 'release_gate_failed' END AS reason FROM checks",
+    "day_grid",
+    **_FOLD_CTES
+    | {
+        "t": """SELECT a.test_month AS month, quantile_cont(b.trip_count, 0.9) AS q
+          FROM (SELECT DISTINCT strftime(pickup_hour, '%Y-%m') AS test_month FROM f) a
+          JOIN f b ON strftime(b.pickup_hour, '%Y-%m') < a.test_month GROUP BY 1""",
+        "p": """SELECT strftime(f.pickup_hour, '%Y-%m') AS test_month, f.trip_count AS y, f.lag_7 AS b, f.lag_1 AS g,
+          CASE WHEN f.pickup_zone_id IN (132, 138) THEN f.lag_7 ELSE f.lag_1 END AS c, coalesce(o.trip_count, 0) AS py,
+          f.pickup_zone_id IN (132, 138) AS air, ev.is_event_window = 1 AS evw, ev.is_new_year_window = 1 AS ny
+          FROM f JOIN ev USING (pickup_hour)
+          LEFT JOIN f o ON o.pickup_zone_id = f.pickup_zone_id AND o.pickup_hour = f.pickup_hour - INTERVAL 1 YEAR""",
+        "m": f"SELECT test_month, scope, count(*) AS rows, {_MEASURES} FROM s JOIN t ON month = test_month GROUP BY 1, 2",
+        "checks": " UNION ALL ".join(f"SELECT '{n}' AS name, coalesce({sql}, FALSE) AS passed FROM gains" for n, sql in _RELEASE.items()),
+    },
+)
+
+
 @query(
     "leakage_guard",
     with_views(

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kerbside.catalog.demand import DAILY
+from kerbside.catalog.demand import BACKTEST_RELEASE, DAILY
 from kerbside.catalog.records import featured
 from kerbside.catalog.registry import query
 from kerbside.catalog.support import rounded, written
 from kerbside.catalog.tables import Tables, with_views
-from kerbside.operators import drivers, series
+from kerbside.operators import drivers, gates, series
 from kerbside.operators.series import COUNT, HOUR, ZONE
 from kerbside.plans import backtest, demand_models, driver_clusters, model_store, money_models, recursion
 from kerbside.session import scratch_path, stored
@@ -69,8 +69,19 @@ def lag_models(train: DataFrame, shape: series.SeriesShape, max_iter: int) -> de
 )
 def rolling_backtest_lags(t: Tables) -> DataFrame:
     """Every month that can be tested, with predictors of closed form; the four scopes without calendar events."""
-    found = backtest.rolling_backtest(t.daily, "1900-01", None, DAILY, fit=lag_models)
-    return rounded(found.filter(F.col("scope").isin("baseline", "candidate", "airport_specialist", "airport_global_model")))
+    return rounded(_lag_folds(t).filter(F.col("scope").isin("baseline", "candidate", "airport_specialist", "airport_global_model")))
+
+
+def _lag_folds(t: Tables) -> DataFrame:
+    if "lag-folds" not in t.kept:
+        t.kept["lag-folds"] = stored(backtest.rolling_backtest(t.daily, "1900-01", None, DAILY, fit=lag_models), "lag-folds")
+    return t.kept["lag-folds"]
+
+
+@query("backtest_release", BACKTEST_RELEASE)
+def backtest_release(t: Tables) -> DataFrame:
+    """The release decision on the backtest's own folds, over every month that can be tested."""
+    return gates.promotion(gates.release_checks(_lag_folds(t)))
 
 
 @query("final_candidate")

@@ -203,6 +203,22 @@ def release_checks(folds: DataFrame) -> DataFrame:
     return gains.agg(F.array(*rows).alias("checks")).select(F.inline("checks"))
 
 
+def promotion(checks: DataFrame) -> DataFrame:
+    """One row (passed, failed, status, reason): a candidate that fails any check is blocked, one that passes waits for a person.
+
+    No checks at all count as failed. ``failed`` lists the names in order, separated by commas.
+    """
+    failed = F.array_sort(F.collect_list(F.when(~F.coalesce("passed", F.lit(False)), F.col("check"))))
+    decided = checks.agg(F.coalesce(F.bool_and(F.coalesce("passed", F.lit(False))), F.lit(False)).alias("passed"), F.array_join(failed, ",").alias("failed"))
+    # Names of the states.
+    return decided.withColumns(
+        {
+            "status": F.when(F.col("passed"), "awaiting_human_approval").otherwise("blocked"),
+            "reason": F.when(~F.col("passed"), "release_gate_failed"),
+        }
+    )
+
+
 def short_history(demand: DataFrame, origins: DataFrame, hours: int = 168) -> DataFrame:
     """Forecast origins with less than ``hours`` of history before them."""
     first = demand.agg(F.min(HOUR)).scalar()

@@ -8,8 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions import clock, errors
-from kerbside.operators import scoring, series
+from kerbside.operators import gates, scoring, series
 from kerbside.operators.series import COUNT, HOUR, ZONE, SeriesShape
+from kerbside.plans import model_store
 from kerbside.plans.demand_models import RoutedModel, fit_routed, quantile_of
 from kerbside.session import scratch_path, stored
 
@@ -153,3 +154,27 @@ def rolling_backtest(
 def final_candidate(demand: DataFrame, shape: SeriesShape = series.HOURLY, max_iter: int = 60) -> RoutedModel:
     """The three models refitted on all data."""
     return fit_routed(stored(series.feature_table(demand, None, shape), "final-features"), shape, max_iter)
+
+
+def release_candidate(
+    demand: DataFrame,
+    path: str,
+    first_test: str,
+    last_test: str | None = None,
+    shape: SeriesShape = series.HOURLY,
+    max_iter: int = 60,
+    folder: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Backtest, decide on its folds, refit on all data and store the model with the decision.
+
+    Returns the fold metrics and one row (passed, failed, status, reason, sha256). The decision is part of the stored
+    description, so a reader of the model sees whether its kind passed; the digest is that of the model to approve and
+    NULL for a blocked one.
+    """
+    spark = demand.sparkSession
+    folds = stored(rolling_backtest(demand, first_test, last_test, shape, max_iter, folder=folder), "fold-metrics")
+    decision = gates.promotion(gates.release_checks(folds)).first()
+    fitted = final_candidate(demand, shape, max_iter)
+    digest = model_store.save_model(spark, fitted, path, release_gate={"passed": decision.passed, "failed": decision.failed})
+    row = (*decision, digest if decision.passed else None)
+    return folds, spark.createDataFrame([row], "passed boolean, failed string, status string, reason string, sha256 string")

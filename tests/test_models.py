@@ -163,3 +163,16 @@ def test_a_resumed_backtest_equals_an_unbroken_one(spark, tmp_path):
     )
     assert sorted(map(tuple, resumed.collect())) == whole
     assert len(again) == 5 - len(before)
+
+
+def test_a_candidate_is_stored_with_the_decision_on_its_folds(spark, tmp_path):
+    series = spark.createDataFrame(daily_rows(), DEMAND)
+    path = str(tmp_path / "candidate")
+    folds, decision = backtest.release_candidate(series, path, "2024-05", None, DAILY, 1)
+    assert {r.test_month for r in folds.select("test_month").collect()} >= {"2024-05"}
+    row = decision.first()
+    assert not row.passed and "minimum_four_folds" in row.failed.split(",")  # three folds at most
+    assert (row.status, row.reason, row.sha256) == ("blocked", "release_gate_failed", None)
+    about = model_store.describe_model(spark, path)
+    assert about["release_gate"] == {"passed": False, "failed": row.failed}
+    assert model_store.load_model(spark, path).trained

@@ -190,6 +190,15 @@ def test_release_needs_every_fold(rows):
     assert not {r.check: r.passed for r in zero}["worst_fold_degradation_no_more_than_2pct"]
 
 
+def test_a_candidate_is_blocked_by_any_failed_check(spark):
+    def decided(*rows):
+        return tuple(gates.promotion(spark.createDataFrame(list(rows), "check string, passed boolean")).first())
+
+    assert decided(("b", True), ("a", True)) == (True, "", "awaiting_human_approval", None)
+    assert decided(("b", False), ("c", True), ("a", None)) == (False, "a,b", "blocked", "release_gate_failed")
+    assert decided() == (False, "", "blocked", "release_gate_failed")
+
+
 def test_small_segments_are_left_out(rows):
     frame = rows(
         "pickup_zone_id int, trip_count double, predicted_trip_count double, previous_week double, horizon_hour int, "
