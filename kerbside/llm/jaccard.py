@@ -32,9 +32,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kerbside.llm.common import annotate, give_back, ship, slices, utf8
+from kerbside.llm.common import annotate, fresh, give_back, ship, slices, utf8
 from kerbside.llm.components import components
-from kerbside.session import stored
+from kerbside.session import broadcast_if_small, stored
 
 SHINGLE = 4
 LEAST = (85, 100)  # a link: LEAST[1] * intersection >= LEAST[0] * union
@@ -102,7 +102,7 @@ def most_difference(n, least):
 
 
 def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """``(id, n, sid, node, tokens, sketch)``; of equal sets in a task only the first is a node, with tokens and sketch.
+    """``(id, mark, n, sid, node, tokens, sketch)``, mark being the text's hash; of equal sets in a task only the first is a node, with tokens and sketch.
 
     The table is written, so node numbers stay what they are.
     """
@@ -127,7 +127,7 @@ def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
 
         return work
 
-    rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), utf8(text).alias("text"))
+    rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), utf8(text).alias("text"), F.xxhash64(utf8(text)).alias("mark"))
     sets = annotate(rows, F.col("text"), make, "n long, sid binary, node long, tokens binary, sketch binary", done=give_back).drop("text")
     return stored(sets, "shingle-sets")
 
@@ -363,10 +363,8 @@ def _shared_lists(postings: DataFrame, sets: DataFrame, least) -> DataFrame:
     return several.join(sets.where("node IS NOT NULL").select("node", "sketch"), "node")
 
 
-def similar_classes(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, frequent: int = FREQUENT
-) -> DataFrame:
-    """A row for every document: its id, n_shingles and component_id."""
+def _row_classes(docs: DataFrame, id: str, text: str, shingle: int, least: tuple[int, int], frequent: int) -> DataFrame:
+    """``(id, mark, n, sid, root, component_id)`` of every row; without shingles, sid and root are null."""
     ship(docs.sparkSession)
     sets = _set_table(docs, id, text, shingle)
     postings = _postings(sets, _frequent(sets, frequent), least)
@@ -387,18 +385,43 @@ def similar_classes(
     classes = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("least_id"), F.min("node").alias("node"))
     classes = classes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = classes.join(smallest, "root").select("sid", "component_id")
-    rows = sets.select("id", "n", "sid").join(classes, "sid", "left")
-    component = F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return rows.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    classes = classes.join(smallest, "root").select("sid", "root", "component_id")
+    rows = sets.select("id", "mark", "n", "sid").join(classes, "sid", "left")
+    return rows.withColumn("component_id", F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("component_id")))
+
+
+def similar_classes(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, frequent: int = FREQUENT
+) -> DataFrame:
+    """A row for every document: its id, n_shingles and component_id."""
+    rows = _row_classes(docs, id, text, shingle, least, frequent)
+    return rows.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
     """The document with the smallest id of each component, with the columns of ``docs``.
 
-    Of several rows with that id one stays. Rows without an id stay, for nothing can stand for them.
+    Ids may repeat: of different texts of a component under its smallest id, the one with the smallest hash stays; equal
+    rows (id and text; null counts as empty) are copies, of which one stays; a text of another component is untouched.
+    Texts without words and rows without an id stay, for nothing can stand for them.
     """
-    classes = similar_classes(docs.where(F.col(f"`{id}`").isNotNull()), id, text, shingle, least)
-    kept = classes.where(F.col("component_id") == F.col(id)).select(id).distinct()
-    named = docs.join(kept, id, "left_semi").dropDuplicates([id])
-    return named.unionByName(docs.where(F.col(f"`{id}`").isNull())).select(*[f"`{c}`" for c in docs.columns])
+    rows = _row_classes(docs.where(F.col(f"`{id}`").isNotNull()), id, text, shingle, least, FREQUENT)
+    first = rows.where(F.col("component_id") == F.col("id")).groupBy(
+        "root", F.when(F.col("root").isNull(), F.col("mark")).alias("own"), "id", "mark"
+    )
+    kept = first.agg(F.count("*").alias("copies")).groupBy("root", "own", "id").agg(
+        F.min("mark").alias("mark"), F.min_by("copies", "mark").alias("copies")
+    )
+    number, mark = fresh("kept_id", docs.columns), fresh("kept_mark", docs.columns)
+    kept = stored(kept.select(F.col("id").alias(number), F.col("mark").alias(mark), "copies"), "kept-rows")
+    marked = docs.withColumns({number: F.col(f"`{id}`").cast("long"), mark: F.xxhash64(utf8(text))})
+
+    def stays(wanted: DataFrame) -> DataFrame:
+        return marked.join(broadcast_if_small(wanted.select(number, mark)), [number, mark], "left_semi")
+
+    copied = kept.where("copies > 1")
+    out = stays(kept.where("copies = 1"))
+    if not copied.isEmpty():
+        out = out.unionByName(stays(copied).dropDuplicates([number, mark]))
+    nameless = marked.where(F.col(f"`{id}`").isNull())
+    return out.unionByName(nameless).select(*[f"`{c}`" for c in docs.columns])

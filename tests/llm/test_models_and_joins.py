@@ -195,6 +195,15 @@ def test_one_of_each_group_stays(spark, awkward):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 3, 4, 6, None]
 
 
+def test_repeated_ids_lose_no_other_text(spark):
+    alpha, beta, gamma = (" ".join(f"{w}{i}" for i in range(30)) for w in "abc")
+    rows = [(1, alpha), (1, beta), (2, beta), (2, gamma), (2, gamma), (3, alpha + " more"), (4, None), (4, ""), (4, "  "), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    kept = [tuple(r) for r in jaccard.one_of_each(docs).collect()]
+    assert sorted((i, t or "") for i, t in kept) == sorted([(1, alpha), (1, beta), (2, gamma), (4, ""), (4, "  "), (5, "")])
+    assert jaccard.one_of_each(docs.where("doc_id > 7")).collect() == []
+
+
 def test_stars(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
