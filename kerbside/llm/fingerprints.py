@@ -32,6 +32,7 @@ SKETCH = 256
 RUN = 3  # words
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _END = np.uint64(0x27D4EB2F165667C5)  # stands after a paragraph's last word
+RANGE_BYTES = 256 << 20  # of texts that one task compares, sorted and read as a stream
 _WORDS_KEPT = 300_000
 
 
@@ -146,12 +147,14 @@ def compare_with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     """Each document beside its spliced edit and the next document (descending id; the first follows the last).
 
     Ids without a value come last, rows with one id are in the order of their texts. Documents are dealt out by ranges
-    of ids; the first of each range is also sent, as a look ahead, to the range before it, so a text moves once.
+    of ids, as many as their bytes need, and each range is a task; the first of each range is also sent, as a look ahead, to
+    the range before it, so a text moves once.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     cuts = rows.select("id").where("id IS NOT NULL").stat.approxQuantile("id", [i / parts for i in range(1, parts)], 0.25 / parts)
     edges = [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
     ranges = Bucketizer(splits=edges, inputCol="at", outputCol="range", handleInvalid="keep")
@@ -171,7 +174,7 @@ def compare_with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     also = F.struct(F.col("to").alias("range"), F.lit(True).alias("lent"))
     places = F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, also))
     lent = dealt.join(seen, match, "left").select("id", "text", F.explode(places).alias("place"))
-    ordered = lent.select("place.range", "place.lent", "id", "text").repartition("range").sortWithinPartitions(
+    ordered = lent.select("place.range", "place.lent", "id", "text").repartitionById(len(edges) + 2, "range").sortWithinPartitions(
         "range", "lent", F.desc_nulls_last("id"), "text"
     )
 

@@ -22,6 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside.llm.common import annotate, fresh, utf8
+from kerbside.session import stored
 
 WINDOW = 256  # bytes
 WIDTHS = (2, 3, 4)
@@ -130,6 +131,22 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) ->
     return Network(languages, params[0], list(params[1:-3]), params[-3], params[-2], params[-1])
 
 
+def _last_hashes(hashed: DataFrame, counts: dict[str, int], rows: int) -> dict[str, int]:
+    """For each language a hash up to which there are ``rows`` rows or all that it has.
+
+    Hashes are spread evenly, so twice the wanted share of their span holds enough. That is counted, and where repeated keys
+    made it too few, the language keeps all its rows.
+    """
+    top = (1 << 63) - 1
+    last = {lang: top if n <= 2 * rows + 100 else int(((2 * rows + 100) << 64) // n) - (1 << 63) for lang, n in counts.items()}
+    if all(h == top for h in last.values()):
+        return last
+    bounds = hashed.sparkSession.createDataFrame(list(last.items()), "lang string, last long")
+    found = hashed.join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("last")).groupBy("lang").agg(F.count("*").alias("n"))
+    enough = {r.lang for r in found.collect() if r.n >= rows}
+    return {lang: h if h == top or lang in enough else top for lang, h in last.items()}
+
+
 def fit(
     docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_language: int = ROWS_PER_LANGUAGE
 ) -> Network | None:
@@ -139,9 +156,15 @@ def fit(
     rows = rows.where(F.col("lang").isNotNull() & (size > 0) & F.col("data").cast("string").rlike(r"\p{L}"))
     places = [F.pmod(F.xxhash64("key", F.lit(n)), F.greatest(size - WINDOW, F.lit(0)) + 1).cast("int") for n in range(WINDOWS_PER_ROW)]
     cut = rows.select("lang", F.xxhash64("key").alias("h"), F.array(*[F.substring("data", p + 1, F.lit(WINDOW)) for p in places]).alias("x"))
-    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang")
+    hashed = stored(rows.select("lang", F.xxhash64("key").alias("h")), "language-hashes")
+    counts = hashed.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    last = _last_hashes(hashed, {r.lang: r.n for r in counts}, rows_per_language)
+    if not last:
+        return None
+    common = docs.sparkSession.createDataFrame(list(last.items()), "lang string, last long")  # MOST_LANGUAGES rows at most
     by = Window.partitionBy("lang").orderBy("h", "x")
-    drawn = cut.join(F.broadcast(common), "lang").withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= rows_per_language)
+    near = cut.join(F.broadcast(common), "lang").where(F.col("h") <= F.col("last"))
+    drawn = near.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= rows_per_language)
     sample = drawn.select("lang", "h", "x").orderBy("lang", "h", "x").collect()
     if not sample:
         return None

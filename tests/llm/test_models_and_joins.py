@@ -59,6 +59,17 @@ def test_table_lookups_equal_the_convolution(documents):
     assert np.allclose(network.probabilities(x, network.tables()), want, atol=1e-4)
 
 
+def test_hash_bounds_hold_the_smallest_hashes(spark):
+    rng = random.Random(5)
+    spread = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(5000)]
+    repeated = [(1 << 63) - 5] * 4000 + spread[:20]  # one key holds nearly all rows
+    rows = [("a", h) for h in spread] + [("b", h) for h in spread[:30]] + [("c", h) for h in repeated]
+    last = language_id._last_hashes(spark.createDataFrame(rows, "lang string, h long"), {"a": 5000, "b": 30, "c": 4020}, 50)
+    assert last["b"] == last["c"] == (1 << 63) - 1
+    held = sorted(h for h in spread if h <= last["a"])
+    assert 50 <= len(held) < 400 and held[:50] == sorted(spread)[:50]
+
+
 def test_nothing_to_learn_a_language_from(awkward):
     assert language_id.fit(awkward.limit(0)) is None
     assert {r.lang_pred for r in language_id.identify(awkward, None).collect()} == {"und"}
