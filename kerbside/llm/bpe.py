@@ -27,7 +27,7 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from kerbside.llm.common import annotate, fresh, ship, utf8
+from kerbside.llm.common import annotate, fresh, give_back, ship, utf8
 
 LONG_BYTES = 1 << 16  # texts beyond this are dealt out as pieces
 PIECE_BYTES = 1 << 14  # of such a piece, where the text can be cut exactly
@@ -206,7 +206,7 @@ def encode(
         return work
 
     fields = "ids binary, n_tokens long"
-    short = annotate(docs.where(size <= long_bytes), utf8(text), make, fields, prefix)
+    short = annotate(docs.where(size <= long_bytes), utf8(text), make, fields, prefix, give_back)
     long = docs.where(size > long_bytes)
     key, ids = fresh("text_key", short.columns + docs.columns), f"{prefix}ids"
     keyed = long.withColumn(key, F.sha2(source.cast("binary"), 256))
@@ -274,4 +274,4 @@ def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", prefix: s
         worker = codec(path)
         return lambda values: [[worker.decode(from_bytes(v)) for v in values]]
 
-    return annotate(rows, F.col(f"`{ids}`"), make, "decoded string", prefix)
+    return annotate(rows, F.col(f"`{ids}`"), make, "decoded string", prefix, give_back)

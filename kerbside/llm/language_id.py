@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kerbside.llm.common import annotate, fresh, utf8
+from kerbside.llm.common import annotate, fresh, give_back, utf8
 from kerbside.session import stored
 
 WINDOW = 256  # bytes
@@ -191,7 +191,7 @@ def identify(docs: DataFrame, network: Network | None, text: str = "text", prefi
 
         return work
 
-    return annotate(docs, utf8(text), make, "lang_pred string, score double", prefix)
+    return annotate(docs, utf8(text), make, "lang_pred string, score double", prefix, give_back)
 
 
 def keep_identified(docs: DataFrame, network: Network | None, least: float = 0.5, text: str = "text") -> DataFrame:

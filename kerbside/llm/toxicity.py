@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kerbside.llm.common import annotate, fresh, ship, utf8
+from kerbside.llm.common import annotate, fresh, give_back, ship, utf8
 from kerbside.session import broadcast_if_small, stored
 
 TOXIC_ROWS, ORDINARY_ROWS = 4_000, 12_000  # for the logistic curve
@@ -114,6 +114,8 @@ def _pair_counts(sample: DataFrame) -> DataFrame:
                 yield rows(counts)
                 counts = Counter()
         yield rows(counts)
+        del counts
+        give_back()
 
     def rows(counts):
         columns = list(zip(*counts)) or [[], [], []]
@@ -192,7 +194,7 @@ def _curve(model: Model, sample: DataFrame, share: float) -> np.ndarray:
     def make():
         return lambda values: list(zip(*[model.features(v) for v in values]))
 
-    rows = annotate(kept, F.col("text"), make, "f0 double, f1 double, f2 double").select("f0", "f1", "f2", "toxic").collect()
+    rows = annotate(kept, F.col("text"), make, "f0 double, f1 double, f2 double", done=give_back).select("f0", "f1", "f2", "toxic").collect()
     x, y = np.array([r[:3] for r in rows], float), np.array([r[3] for r in rows], float)
     middle, spread = x.mean(0), x.std(0) + 1e-9
     a = np.column_stack([(x - middle) / spread, np.ones(len(x))])
@@ -223,7 +225,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -
 
         return work
 
-    return annotate(docs, utf8(text), make, "score double, predicted int", prefix)
+    return annotate(docs, utf8(text), make, "score double, predicted int", prefix, give_back)
 
 
 def reject_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
