@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from datetime import date, timedelta
+from functools import cache
+
+from pyspark.sql import Column, SparkSession, functions as F
 
 
 def _col(value: Column | str) -> Column:
@@ -71,11 +74,33 @@ def local_to_utc(ts: Column | str, zone: str) -> Column:
 DST_SHIFTS_MINUTES = (20, 30, 40, 60, 120)
 
 
+# Transitions are listed for these years; other wall times are always converted.
+LISTED_YEARS = (1970, 2070)
+
+
+@cache
+def _transition_days(zone: str) -> tuple[date, ...]:
+    """Local days of the zone's clock changes within LISTED_YEARS, each with the days around it."""
+    jvm = SparkSession.active()._jvm
+    known = jvm.org.apache.spark.sql.catalyst.util.DateTimeUtils.getZoneId(zone).getRules()
+    first, end = (jvm.java.time.Instant.parse(f"{year}-01-01T00:00:00Z") for year in LISTED_YEARS)
+    days, change = set(), known.previousTransition(first) or known.nextTransition(first)
+    while change is not None:
+        ends = [date.fromisoformat(side.toLocalDate().toString()) for side in (change.getDateTimeBefore(), change.getDateTimeAfter())]
+        span = (max(ends) - min(ends)).days
+        days.update(min(ends) + timedelta(days=n) for n in range(-1, span + 2))
+        if change.getInstant().isAfter(end):
+            break
+        change = known.nextTransition(change.getInstant())
+    return tuple(sorted(days))
+
+
 def classify_local_time(ts: Column | str, zone: str) -> Column:
     """'normal', 'ambiguous' or 'nonexistent' for a naive wall time in ``zone``.
 
     A wall time that does not survive the trip to UTC and back does not exist. It is ambiguous when
-    a UTC instant one clock shift earlier or later shows the same wall time.
+    a UTC instant one clock shift earlier or later shows the same wall time. Neither can be far from
+    a clock change, so only wall times around one are converted.
     """
     wall = _col(ts).cast("timestamp_ntz")
     utc = local_to_utc(wall, zone)
@@ -83,8 +108,11 @@ def classify_local_time(ts: Column | str, zone: str) -> Column:
     for minutes in DST_SHIFTS_MINUTES:
         for sign in (1, -1):
             repeated = repeated | (utc_to_local(shift(utc, mins=sign * minutes), zone) == wall)
+    first, end = (F.lit(date(year, 1, 1)) for year in LISTED_YEARS)
+    day = wall.cast("date")
     return (
         F.when(wall.isNull(), F.lit(None).cast("string"))
+        .when((day >= first) & (day < end) & ~day.isin(*_transition_days(zone)), "normal")
         .when(utc_to_local(utc, zone) != wall, "nonexistent")
         .when(repeated, "ambiguous")
         .otherwise("normal")

@@ -83,6 +83,19 @@ def test_wall_time_classes_match_the_time_zone_database(rows, zone):
     assert got == {w: expected(w) for w in walls}
 
 
+def test_only_wall_times_around_a_clock_change_are_converted(rows, spark):
+    """Times far from clock changes must not pay for a dozen conversions of zones; others and unlisted years are classified alike."""
+    assert len(clock._transition_days("Australia/Sydney")) < 1200
+    walls = [datetime(1951, 6, 1), datetime(1943, 3, 28, 2, 30), datetime(2090, 10, 1, 2, 30), datetime(2011, 12, 30, 12), datetime(2020, 7, 1)]
+    df = rows("w timestamp_ntz", *[(w,) for w in walls], (None,))
+    sydney, samoa = (clock.classify_local_time("w", z) for z in ("Australia/Sydney", "Pacific/Apia"))
+    got = {r.w: (r.s, r.a) for r in df.select("w", sydney.alias("s"), samoa.alias("a")).collect()}
+    assert got.pop(None) == (None, None)
+    assert [got[w] for w in walls] == [
+        ("normal", "normal"), ("ambiguous", "normal"), ("nonexistent", "normal"), ("normal", "nonexistent"), ("normal", "normal")
+    ]
+
+
 def test_utc_to_local(rows):
     got = stamps(rows, "2024-06-25 00:00:00").select(clock.utc_to_local("t", "Australia/Sydney")).first()[0]
     assert got == datetime(2024, 6, 25, 10)
