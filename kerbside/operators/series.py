@@ -12,6 +12,7 @@ from kerbside.sources.tables import require_columns
 
 ZONE, HOUR, COUNT = "pickup_zone_id", "pickup_hour", "trip_count"
 WEATHER = ("temperature_c", "precipitation_mm")
+GRID_ROWS_PER_TASK = 500_000  # rows of the dense grid that one task generates
 
 
 @dataclass(frozen=True)
@@ -69,14 +70,18 @@ def time_grid(demand: DataFrame, shape: SeriesShape = HOURLY) -> DataFrame:
     """Every zone at every step between the first and last observed time.
 
     Each zone generates its own times, so nothing is cross joined and the zones stay hash
-    partitioned for the windows that follow.
+    partitioned for the windows that follow. There are as many partitions as the grid's size needs.
     """
     at = clock.trunc(shape.unit, HOUR)
     ends = demand.agg(F.min(at).alias("first"), F.max(at).alias("last"))
     times = F.sequence(
         ends.select("first").scalar(), ends.select("last").scalar(), F.expr(f"INTERVAL {shape.step}")
     )
-    parts = int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = F.size(F.sequence(F.min(at), F.max(at), F.expr(f"INTERVAL {shape.step}")))
+    cells = demand.agg((F.approx_count_distinct(ZONE) * steps).alias("cells")).first().cells or 0
+    # More partitions than a shuffle would have by itself: else adaptive execution merges them by the size of the bare zones.
+    parts = int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
+    parts = max(parts, -(-cells // GRID_ROWS_PER_TASK))
     zones = demand.filter(F.col(ZONE).isNotNull()).select(ZONE).distinct().repartition(parts, ZONE)
     return zones.select(ZONE, F.explode(times).alias(HOUR))
 

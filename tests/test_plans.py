@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from kerbside.catalog.tables import Tables
-from kerbside.operators import gold, series, silver
+from kerbside.operators import gates, gold, series, silver
 from kerbside.session import broadcast_if_small
 from kerbside.sources import months
 
@@ -60,6 +60,18 @@ def test_grid_is_not_shuffled_again_for_its_windows(spark):
     assert "Exchange" not in above and above.count("Sort [") == 1
 
 
+def test_grid_tasks_follow_the_size_of_the_grid(spark, monkeypatch):
+    """Adaptive execution must not merge the zones, which are few bytes, into few tasks that generate the whole grid."""
+    demand = Tables(spark, SMALL).hourly
+    want = series.time_grid(demand).count()
+    monkeypatch.setattr(series, "GRID_ROWS_PER_TASK", 100)
+    grid = series.time_grid(demand)
+    assert grid.rdd.getNumPartitions() >= want // 150 > 5
+    assert grid.count() == want == grid.distinct().count()
+    missing = gates.grid_difference(demand, grid, "pickup_zone_id", "pickup_hour")
+    assert missing.where("side = 'missing'").count() == want - demand.count() and missing.where("side <> 'missing'").isEmpty()
+
+
 def test_large_side_is_not_broadcast(spark):
     small, large = spark.range(10), spark.range(1000)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
