@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, functions as F
 from kerbside.session import stored
 
 FIELDS = ["average_daily_income", "average_daily_hours"]
+POINTS_PER_TASK = 200_000  # every task of every iteration of every restart answers the driver
 
 
 def vectors(drivers: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FIELDS, outputCol="features").transform(drivers.na.drop(subset=FIELDS))
 
 
+def stored_points(drivers: DataFrame) -> DataFrame:
+    """The vectors, written once and read by as few tasks as their number needs, not by one for each file or core."""
+    points = stored(vectors(drivers), "driver-vectors")
+    return points.coalesce(max(1, -(-points.count() // POINTS_PER_TASK)))
+
+
 def _single_cluster_cost(points: DataFrame) -> float:
     """Squared distance to the common mean: the cost of one cluster."""
     spread = [F.var_pop(field) * F.count(field) for field in FIELDS]
@@ -32,7 +39,7 @@ def best_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 3
 
 def elbow(drivers: DataFrame, largest: int = 10, restarts: int = 10) -> DataFrame:
     """Within-cluster cost for one to ``largest`` clusters."""
-    points = stored(vectors(drivers), "driver-vectors")
+    points = stored_points(drivers)
     costs = [(1, _single_cluster_cost(points))]
     costs += [
         (k, float(best_kmeans(points, k, restarts).summary.trainingCost)) for k in range(2, largest + 1)
@@ -42,7 +49,7 @@ def elbow(drivers: DataFrame, largest: int = 10, restarts: int = 10) -> DataFram
 
 def cluster_profile(drivers: DataFrame, k: int = 6, restarts: int = 10) -> DataFrame:
     """Size, income range, mean hours and centre per cluster, ordered by income."""
-    points = stored(vectors(drivers), "driver-vectors")
+    points = stored_points(drivers)
     labelled = best_kmeans(points, k, restarts).transform(points)
     return (
         labelled.groupBy("prediction")

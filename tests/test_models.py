@@ -12,7 +12,7 @@ from test_recursion import DEMAND, SHADOW, demand, from_columns  # noqa: F401  (
 from kerbside.catalog.jobs import lag_models
 from kerbside.catalog.tables import DAILY
 from kerbside.operators.series import COUNT, HOUR, ZONE
-from kerbside.plans import backtest, demand_models, model_store, recursion
+from kerbside.plans import backtest, demand_models, driver_clusters, model_store, recursion
 from kerbside.plans.demand_models import RoutedModel
 
 FEATURES = ["a", "b"]
@@ -176,3 +176,16 @@ def test_a_candidate_is_stored_with_the_decision_on_its_folds(spark, tmp_path):
     about = model_store.describe_model(spark, path)
     assert about["release_gate"] == {"passed": False, "failed": row.failed}
     assert model_store.load_model(spark, path).trained
+
+
+def test_clusters_are_fitted_by_few_tasks(spark, monkeypatch):
+    """Tasks that answer the driver in every iteration follow the number of drivers, not that of files."""
+    drivers = spark.range(0, 900, 1, 9).select(
+        (F.col("id") % 30).cast("double").alias("average_daily_income"), (F.col("id") % 7).cast("double").alias("average_daily_hours")
+    )
+    assert driver_clusters.stored_points(drivers).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(driver_clusters, "POINTS_PER_TASK", 300)
+    points = driver_clusters.stored_points(drivers)
+    assert points.rdd.getNumPartitions() == 3 and points.count() == 900
+    costs = [r.inertia for r in driver_clusters.elbow(drivers, 3, 2).orderBy("k").collect()]
+    assert costs == sorted(costs, reverse=True) and costs[-1] > 0
