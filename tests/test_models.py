@@ -7,12 +7,13 @@ from datetime import datetime
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from conftest import SMALL
 from test_recursion import DEMAND, SHADOW, demand, from_columns  # noqa: F401  (fixture)
 
 from kerbside.catalog.jobs import lag_models
-from kerbside.catalog.tables import DAILY
+from kerbside.catalog.tables import DAILY, Tables
 from kerbside.operators.series import COUNT, HOUR, ZONE
-from kerbside.plans import backtest, demand_models, driver_clusters, model_store, recursion
+from kerbside.plans import backtest, demand_models, driver_clusters, model_store, money_models, recursion
 from kerbside.plans.demand_models import RoutedModel
 
 FEATURES = ["a", "b"]
@@ -189,3 +190,11 @@ def test_clusters_are_fitted_by_few_tasks(spark, monkeypatch):
     assert points.rdd.getNumPartitions() == 3 and points.count() == 900
     costs = [r.inertia for r in driver_clusters.elbow(drivers, 3, 2).orderBy("k").collect()]
     assert costs == sorted(costs, reverse=True) and costs[-1] > 0
+
+
+def test_importance_fits_the_forest_only(spark):
+    trips = Tables(spark, SMALL).legacy.na.fill({"surcharge": 0.0})
+    money = money_models.MoneyModels(trips, "fare_amount", "trip_id", trees=2, depth=2)
+    whole = money.fit().importance().collect()
+    alone = money.fit("random_forest")
+    assert list(alone.models) == ["random_forest"] and alone.importance().collect() == whole
