@@ -195,6 +195,7 @@ def test_clusters_are_fitted_by_few_tasks(spark, monkeypatch):
 def test_importance_fits_the_forest_only(spark):
     trips = Tables(spark, SMALL).legacy.na.fill({"surcharge": 0.0})
     money = money_models.MoneyModels(trips, "fare_amount", "trip_id", trees=2, depth=2)
+    assert money.train.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism  # one file of trips, fits on all cores
     whole = money.fit().importance().collect()
     alone = money.fit("random_forest")
     assert list(alone.models) == ["random_forest"] and alone.importance().collect() == whole
