@@ -21,10 +21,11 @@ result's name are replaced.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -100,31 +101,50 @@ def _sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str,
     return texts.select("text", "toxic", (~F.coalesce(curve, F.lit(False))).alias("learns"))
 
 
-def _pair_counts(sample: DataFrame) -> DataFrame:
-    """``(v, w, n0, n1)``: in how many texts of either class w follows v; v is empty at the start of a text."""
+def _pair_lines(sample: DataFrame) -> DataFrame:
+    """``(bucket, toxic, n, pairs)``: lines of pairs of neighbouring words that n of a task's texts of a class have.
+
+    Many lines in a row take less than half the room of a row for each pair. A bucket is a hash of both words, so that a
+    frequent word is in all of them.
+    """
     ship(sample.sparkSession)
+    buckets = 4 * int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches):
-        counts: Counter = Counter()
+        counts = Counter(), Counter()
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = ["", *words(text)]
-                counts.update(set(zip(repeat(toxic), found, found[1:])))
-            if len(counts) > 500_000:
-                yield rows(counts)
-                counts = Counter()
-        yield rows(counts)
+                counts[toxic > 0].update(set(map(" ".join, zip(found, found[1:]))))  # no word has a space
+                if len(counts[0]) + len(counts[1]) > 500_000:
+                    yield from rows(counts)
+                    counts = Counter(), Counter()
+        yield from rows(counts)
         del counts
         give_back()
 
     def rows(counts):
-        columns = list(zip(*counts)) or [[], [], []]
-        arrays = [pa.array(c, k) for c, k in zip([*columns, list(counts.values())], (pa.int32(), pa.string(), pa.string(), pa.int64()))]
-        return pa.RecordBatch.from_arrays(arrays, names=["toxic", "v", "w", "n"])
+        lines = defaultdict(list)
+        for toxic, counted in enumerate(counts):
+            for pair, n in counted.items():
+                lines[crc32(pair.encode()) % buckets, toxic, n].append(pair)
+        keys = list(lines)
+        for begin in range(0, len(keys), 1_000):
+            part = keys[begin : begin + 1_000]
+            columns = [pa.array(c, k) for c, k in zip(zip(*part), (pa.int32(), pa.int32(), pa.int64()))]
+            columns.append(pa.array(["\n".join(sorted(lines.pop(k))) for k in part], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "toxic", "n", "pairs"])
+
+    return sample.where("learns").select("text", "toxic").mapInArrow(count, "bucket int, toxic int, n long, pairs string")
 
-    counted = sample.where("learns").select("text", "toxic").mapInArrow(count, "toxic int, v string, w string, n long")
+
+def _pair_counts(sample: DataFrame) -> DataFrame:
+    """``(v, w, n0, n1)``: in how many texts of either class w follows v; v is empty at the start of a text."""
+    single = _pair_lines(sample).repartition("bucket").select("bucket", "toxic", "n", F.explode(F.split("pairs", "\n")).alias("pair"))
     of = lambda y: F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}")
-    return counted.groupBy("v", "w").agg(of(0), of(1))
+    pairs = single.groupBy("bucket", "pair").agg(of(0), of(1))
+    part = lambda i: F.substring_index("pair", " ", i)
+    return pairs.select(part(1).alias("v"), part(-1).alias("w"), "n0", "n1")
 
 
 def fit(
@@ -144,6 +164,7 @@ def fit(
     by_word = pairs.groupBy("w").agg(
         F.sum((F.col("n0") > 0).cast("long")).alias("c0"), F.sum((F.col("n1") > 0).cast("long")).alias("c1"), F.count("*").alias("p")
     )
+    by_word = stored(by_word, "toxicity-words")
     sums = by_word.agg(F.sum("c0"), F.sum("c1"), F.sum("p"), F.sum(cut("c0")), F.sum(cut("c1"))).collect()[0]
     if not sums[0] or not sums[1]:
         return Model(constant=0.0)

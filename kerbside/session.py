@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Whether a query's shuffle files go when it ends, rather than when the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # A broadcast table is held whole by the driver and every executor.
 BROADCAST_ROW_LIMIT = 500_000
 BROADCAST_BYTE_LIMIT = 64 << 20
@@ -75,10 +78,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back, with file statistics for the planner."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it back, with file statistics for the planner.
+
+    The shuffle files of the write are removed once it is done: nothing reads its plan again.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(

@@ -295,3 +295,18 @@ def test_queries_cover_their_tables(spark, documents):
     n = documents.count()
     for name, table in (("op2_token_count", n), ("op5_bpe_round_trip", n), ("op8_fingerprints", n), ("op9_ngram_jaccard", n), ("op10_source_mixing", n)):
         assert QUERIES[name](spark, SMALL).count() == table
+
+
+def test_pairs_of_words_are_sent_as_lines(spark):
+    rows = [(0, "b a b a"), (0, "a b"), (1, "A b"), (1, ""), (0, "é_1 é_1")] + [(0, f"u{i} v{i}") for i in range(300)]
+    texts = spark.createDataFrame([(t.encode(), y, True) for y, t in rows], "text binary, toxic int, learns boolean").repartition(2)
+    pairs = toxicity._pair_counts(texts)
+    got = {(r.v, r.w): (r.n0, r.n1) for r in pairs.collect()}
+    want = defaultdict(lambda: [0, 0])
+    for y, t in rows:
+        found = ["", *t.lower().split()]
+        for pair in set(zip(found, found[1:])):
+            want[pair][y] += 1
+    assert got == {k: tuple(n) for k, n in want.items()}
+    sent = toxicity._pair_lines(texts).agg(F.count("*"), F.max(F.size(F.split("pairs", "\n")))).first()
+    assert sent[0] < len(want) and sent[1] > 1
