@@ -1,20 +1,23 @@
 """Self-join of documents by the Jaccard similarity of their word n-grams, with set-relation skipping.
 
-1. Each document becomes the set of its hashed shingles. Equal sets of a task are one node from here on, however many
-   documents have them; nodes have short numbers, which keep the index small.
+1. Each document becomes the set of its hashed shingles. Equal sets are one node from here on, however many documents
+   have them; nodes have short numbers, which keep the index small. Where some nodes are wanted, a bit for each travels
+   to the sets, so that sets which aren't wanted stay where they are.
 2. Frequent shingles are counted (partial counts in each task, then an aggregate; a bounded table of the most frequent
    ones travels to the tasks). All sets are ordered alike: rare shingles first, by hash, then frequent ones by count.
    Any common order is exact; this one keeps the lists short.
 3. Two sets that link share a shingle of their prefixes, so prefixes become an inverted index: for each shingle the
-   list of (set, size, position). The list of a very frequent shingle is split into blocks, and pairs of blocks.
+   list of (set, size, position). The list of a very frequent shingle is split into blocks, and pairs of blocks. Most
+   lists are short: their pairs are taken where the list is, without sketches.
 4. In a list, sorted by size, whole blocks are skipped by position: if a pair's first common shingle stands at positions
    p and q, the sets differ in p + q shingles at least. Sets are further compared by parity sketches, whose Hamming
    distance is at most the size of their difference. As this is a metric, answers carry over between similar sets: the
    distances computed for a list's first set bound those of every other set, which is only compared where they allow it.
-5. In a first round every set proposes its nearest survivor among the sets before it in a list; these are verified
-   on the sets themselves and give components. In a second round all survivors of different components are verified
-   (those of long lists are only found then). A pair inside one component can't change it, so large groups of near
-   copies cost a forest, not all their pairs.
+   Pairs from all lists are then compared by wide sketches, which have as many bits as the sets have shingles.
+5. In a first round the nearest of the smaller survivors of each set is verified on the sets themselves, which gives
+   components. In a second round all survivors of different components are verified (those of long lists are only
+   found then). A pair inside one component can't change it, so large groups of near copies cost a forest, not all
+   their pairs.
 
 Defined results: a document without words, or a null one, has an empty set, links with nothing and is its own component.
 With fewer words than a shingle has, the whole sequence is the only shingle. Documents without an id take part; the
@@ -43,7 +46,7 @@ COUNTED_FROM = 8
 LIST_BLOCK = 2_048  # sets of one shingle that are compared with each other in one place
 SKETCH_BITS = 512
 SKIP = 64  # neighbours in a list that are skipped together
-BROADCAST_SETS = 200_000  # nodes (8 bytes each) that may be broadcast
+SHORT = 8  # rows of a list whose pairs are taken without sketches
 
 _WORDS_KEPT = 100_000
 _MULTIPLY = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -81,10 +84,16 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
-def parity_sketch(tokens: np.ndarray) -> bytes:
-    """For each of SKETCH_BITS classes of tokens whether the set has an odd number of them."""
-    bit = ((tokens >> np.uint64(20)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    return np.packbits((np.bincount(bit, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """For each of 2**k classes of tokens, as many as tokens or more, whether the set has an odd number of them."""
+    bits = max(SKETCH_BITS, 1 << (len(tokens) - 1).bit_length())
+    bit = ((tokens >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=bits) & 1).astype(np.uint8))
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """A sketch of ``size`` bytes from a longer one."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
 
 
 def least_overlap(n, m, least):
@@ -102,7 +111,7 @@ def most_difference(n, least):
 
 
 def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """``(id, mark, n, sid, node, tokens, sketch)``, mark being the text's hash; of equal sets in a task only the first is a node, with tokens and sketch.
+    """``(id, mark, n, sid, node, tokens, sketch, wide)``, mark being the text's hash; of equal sets in a task only the first is a node, with tokens and sketches.
 
     The table is written, so node numbers stay what they are.
     """
@@ -121,17 +130,29 @@ def _set_table(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
                 first = sid is not None and sid not in seen
                 seen.add(sid)
                 number += first
-                shown = (number, packed(tokens), parity_sketch(tokens)) if first else (None, None, None)
+                shown = (None,) * 4
+                if first:
+                    wide = parity_sketch(tokens)
+                    shown = number, packed(tokens), folded(wide, SKETCH_BITS // 8).tobytes(), wide.tobytes()
                 rows.append((len(tokens), sid, *shown))
             return list(zip(*rows))
 
         return work
 
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), utf8(text).alias("text"), F.xxhash64(utf8(text)).alias("mark"))
-    sets = annotate(rows, F.col("text"), make, "n long, sid binary, node long, tokens binary, sketch binary", done=give_back).drop("text")
+    sets = annotate(rows, F.col("text"), make, "n long, sid binary, node long, tokens binary, sketch binary, wide binary", done=give_back).drop("text")
     return stored(sets, "shingle-sets")
 
 
+def _marked(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that are one of ``nodes``. A bit for each node is broadcast."""
+    place = F.bitmap_bit_position("node")
+    bits = nodes.groupBy(F.bitmap_bucket_number("node").alias("bucket")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    found = sets.join(broadcast_if_small(bits, store="node-bits"), F.bitmap_bucket_number("node") == F.col("bucket"))
+    byte = "cast(conv(hex(substring(bits, cast(bitmap_bit_position(node) div 8 as int) + 1, 1)), 16, 10) as int)"
+    return found.where(F.expr(f"shiftright({byte}, cast(bitmap_bit_position(node) % 8 as int)) % 2 = 1")).select(*sets.columns)
+
+
 def _frequent(sets: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens, sorted, and their counts. A token is counted where a task holds it twice."""
 
@@ -153,7 +174,7 @@ def _frequent(sets: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
         tokens, n = np.unique(np.concatenate(held), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(tokens[n > 1]), pa.array(n[n > 1].astype(np.int64))], names=["token", "n"])
 
-    partial = sets.where("tokens IS NOT NULL").select("tokens").mapInArrow(count, "token long, n long")
+    partial = sets.select("tokens").mapInArrow(count, "token long, n long")
     total = partial.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COUNTED_FROM)
     top = total.orderBy(F.desc("n"), "token").limit(most).toArrow()
     tokens, n = np.asarray(top["token"], np.int64), np.asarray(top["n"], np.int64)
@@ -201,7 +222,7 @@ def _postings(sets: DataFrame, frequent, least) -> DataFrame:
         for begin in range(0, len(own), 100_000):
             yield pa.RecordBatch.from_arrays([c.slice(begin, 100_000) for c in columns], names=[c.split()[0] for c in _POSTINGS.split(", ")])
 
-    return sets.where("tokens IS NOT NULL").select("node", "n", "tokens").mapInArrow(index, _POSTINGS)
+    return sets.select("node", "n", "tokens").mapInArrow(index, _POSTINGS)
 
 
 class _Lists:
@@ -210,8 +231,9 @@ class _Lists:
     def __init__(self, table: pa.Table, least):
         number = lambda name: np.asarray(table[name], np.int64)
         self.node, self.n, self.pos, self.side, self.least = number("node"), number("n"), number("pos"), number("side"), least
-        sketch = table["sketch"].combine_chunks()
-        self.sketch = np.frombuffer(b"".join(sketch.to_pylist()), "<u8").reshape(len(self.n), -1)
+        self.sketch = None  # of short lists
+        if "sketch" in table.column_names:
+            self.sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u8").reshape(len(self.n), -1)
         self.group = np.asarray(table["root"].fill_null(-1), np.int64) if "root" in table.column_names else None
         if self.group is not None:
             self.group = np.where(self.group < 0, self.node, self.group)
@@ -225,7 +247,7 @@ class _Lists:
         return total - 2 * least_overlap(self.n[i], self.n[j], self.least)
 
     def survives(self, i, j):
-        """Which pairs of rows may link, and their sketches' distances."""
+        """Which pairs of rows may link, and their sketches' distances (0 without sketches)."""
         most = self.difference(i, j)
         ok = (self.least[1] * np.minimum(self.n[i], self.n[j]) >= self.least[0] * np.maximum(self.n[i], self.n[j])) & (
             self.pos[i] + self.pos[j] <= most
@@ -234,14 +256,16 @@ class _Lists:
         if self.group is not None:
             ok &= self.group[i] != self.group[j]
         i, j, most = i[ok], j[ok], most[ok]
+        if self.sketch is None:
+            return i, j, np.zeros(len(i), np.int64)
         far = np.bitwise_count(self.sketch[i] ^ self.sketch[j]).sum(1, dtype=np.int64)
         near = far <= most
         return i[near], j[near], far[near]
 
     def pairs(self):
-        """Pairs of rows that survive, and whether one is the best earlier partner of the other.
+        """Pairs of rows that survive, the larger set first.
 
-        Of a long list only these nearest pairs come, unless roots are known: then all pairs of different components.
+        Of a long list only the nearest partner of each comes, unless roots are known: then all pairs of different components.
         """
         sizes = np.diff(self.starts)
         small, i, j = np.flatnonzero((sizes > 1) & (sizes <= SKIP)), [], []
@@ -251,8 +275,7 @@ class _Lists:
             i.append((first[:, None] + a).ravel())
             j.append((first[:, None] + b).ravel())
         if i:
-            i, j = self.survives(np.concatenate(i), np.concatenate(j))[:2], None
-            yield (*i, self.nearest(*i))
+            yield self.survives(np.concatenate(i), np.concatenate(j))[:2]
         for g in np.flatnonzero(sizes > SKIP):
             yield from self.long_list(self.starts[g], self.starts[g + 1])
 
@@ -281,61 +304,79 @@ class _Lists:
                 i, j, far = self.survives(np.full(len(y), begin + x), begin + y)
                 if self.group is None and len(far):  # the first round takes the nearest
                     i, j, far = i[:1], j[[far.argmin()]], far[:1]
-                out.append((i, j, np.full(len(i), self.group is None)))
+                out.append((i, j))
         if out:
             yield tuple(np.concatenate(c) for c in zip(*out))
 
-    def nearest(self, i, j):
-        """Which of the surviving pairs hold the best earlier partner of row i."""
-        far = np.bitwise_count(self.sketch[i] ^ self.sketch[j]).sum(1, dtype=np.int64)
-        order = np.lexsort((j, far, i))
-        best = np.zeros(len(i), bool)
-        if len(i):
-            best[order[np.append(True, i[order][1:] != i[order][:-1])]] = True
-        return best
+
+_KEYS = ["token", "block_i", "block_j"]
+
+
+def _whole_lists(batches):
+    """Rows sorted by list, as tables of whole lists."""
+    held, rows = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        rows += batch.num_rows
+        if rows >= 20_000:
+            table = pa.concat_tables(held)
+            last = [table[k][rows - 1].as_py() for k in _KEYS]
+            same = np.all([np.asarray(table[k], np.int64) == v for k, v in zip(_KEYS, last)], axis=0)
+            whole = int(np.argmax(same))  # rows are sorted: the last list starts here
+            if whole:
+                yield table.slice(0, whole)
+            held, rows = [table.slice(whole)], rows - whole
+    if rows:
+        yield pa.concat_tables(held)
+
+
+def _pairs_of(table: pa.Table, least):
+    """The surviving pairs of a table of whole lists: numbers of the smaller and the larger set."""
+    lists = _Lists(table, least)
+    for i, j in lists.pairs():
+        a, b = pa.array(lists.node[j]), pa.array(lists.node[i])
+        for begin in range(0, len(i), 100_000):
+            yield pa.RecordBatch.from_arrays([a.slice(begin, 100_000), b.slice(begin, 100_000)], names=["a", "b"])
 
 
 def _candidates(lists: DataFrame, least) -> DataFrame:
-    """``(a, b, near)``, a < b: pairs of sets that may link. Lists are gathered by shingle and pair of blocks."""
-    keys = ["token", "block_i", "block_j"]
+    """``(a, b)``: pairs of sets that may link, repeated. Lists are gathered by shingle and pair of blocks."""
 
     def search(batches):
-        held, rows = [], 0
-        for batch in batches:
-            held.append(pa.Table.from_batches([batch]))
-            rows += batch.num_rows
-            if rows >= 20_000:
-                table = pa.concat_tables(held)
-                last = [table[k][rows - 1].as_py() for k in keys]
-                same = np.all([np.asarray(table[k], np.int64) == v for k, v in zip(keys, last)], axis=0)
-                whole = int(np.argmax(same))  # rows are sorted: the last list starts here
-                if whole:
-                    yield from found(table.slice(0, whole))
-                held, rows = [table.slice(whole)], rows - whole
-        if rows:
-            yield from found(pa.concat_tables(held))
-        del held
+        for table in _whole_lists(batches):
+            yield from _pairs_of(table, least)
         give_back()
 
-    def found(table):
-        lists_ = _Lists(table, least)
-        for i, j, near in lists_.pairs():
-            a, b = lists_.node[i], lists_.node[j]
-            columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(near)]
-            for begin in range(0, len(i), 100_000):
-                yield pa.RecordBatch.from_arrays([c.slice(begin, 100_000) for c in columns], names=["a", "b", "near"])
+    gathered = lists.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "n", "node")
+    return gathered.mapInArrow(search, "a long, b long")
+
+
+def _not_far(pairs: DataFrame, nodes: DataFrame, least) -> DataFrame:
+    """``(a, b, far)``: of pairs, once each, those that may link by their wide sketches, and the sketches' distance."""
+    of = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("wide").alias(f"wide_{end}"))
+    both = pairs.select("a", "b").distinct().join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "wide_a", "wide_b")
 
-    gathered = lists.repartition(*keys).sortWithinPartitions(*keys, "n", "node")
-    return gathered.mapInArrow(search, "a long, b long, near boolean").groupBy("a", "b").agg(F.max("near").alias("near"))
+    def compare(batches):
+        for batch in batches:
+            far = []
+            for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                size = min(len(x), len(y))
+                far.append(int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64)))
+            n, m, far = (np.asarray(c, np.int64) for c in (batch.column(2), batch.column(3), far))
+            near = pa.array(far <= n + m - 2 * least_overlap(n, m, least))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far)], names=["a", "b", "far"]).filter(near)
+        give_back()
+
+    return both.mapInArrow(compare, "a long, b long, far long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least, label: str) -> DataFrame:
-    """Those pairs whose sets link. The sets of pairs are fetched once each."""
+    """Those pairs whose sets link."""
     pairs = stored(pairs.select("a", "b"), f"{label}-pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{label}-sets")
-    if wanted.count() <= BROADCAST_SETS:
-        wanted = F.broadcast(wanted)
-    tokens = sets.where("tokens IS NOT NULL").select("node", "tokens").join(wanted, "node", "left_semi")
+    tokens = _marked(sets.select("node", "tokens"), pairs.select(F.explode(F.array("a", "b")).alias("node")))
 
     def compare(batches):
         for batch in batches:
@@ -352,37 +393,61 @@ def _verified(pairs: DataFrame, sets: DataFrame, least, label: str) -> DataFrame
     return stored(with_b.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), f"{label}-links")
 
 
-def _shared_lists(postings: DataFrame, sets: DataFrame, least) -> DataFrame:
-    """The lists' rows that have a neighbour of fitting size in their list, with its length k and the sets' sketches."""
-    by = Window.partitionBy("token", "block_i", "block_j")
+def _shared_lists(postings: DataFrame, least) -> DataFrame:
+    """Of lists of up to SHORT rows the pairs ``(a, b)`` that may link; of longer ones the rows, with the list's length k.
+
+    Rows without a neighbour of fitting size in their list are left out.
+    """
+    by = Window.partitionBy(*_KEYS)
     sized = by.orderBy("n", "node")
     before, after = F.lag("n").over(sized), F.lead("n").over(sized)
     fits = (least[1] * F.col("before") >= least[0] * F.col("n")) | (least[1] * F.col("n") >= least[0] * F.col("after"))
     near = postings.select("*", before.alias("before"), after.alias("after")).where(fits).drop("before", "after")
-    several = near.withColumn("k", F.count("*").over(by)).where("k > 1")
-    return several.join(sets.where("node IS NOT NULL").select("node", "sketch"), "node")
+    several = near.withColumn("k", F.count("*").over(by)).where("k > 1").sortWithinPartitions(*_KEYS, "n", "node")
+    fields = f"{_POSTINGS}, k long, a long, b long"
+    schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.int64()) for f in fields.split(", ")])
+
+    def filled(columns, rows):
+        made = [columns[f.name].combine_chunks() if f.name in columns else pa.nulls(rows, f.type) for f in schema]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, schema)], schema=schema)
+
+    def split(batches):
+        for table in _whole_lists(batches):
+            short = np.asarray(table["k"], np.int64) <= SHORT
+            rows = table.filter(pa.array(~short))
+            if rows.num_rows:
+                yield filled({c: rows[c] for c in rows.column_names}, rows.num_rows)
+            few = table.filter(pa.array(short))
+            for pairs in _pairs_of(few, least) if few.num_rows else ():
+                whole = pa.Table.from_batches([pairs])
+                yield filled({"a": whole["a"], "b": whole["b"]}, pairs.num_rows)
+        give_back()
+
+    return several.mapInArrow(split, fields)
 
 
 def _row_classes(docs: DataFrame, id: str, text: str, shingle: int, least: tuple[int, int], frequent: int) -> DataFrame:
     """``(id, mark, n, sid, root, component_id)`` of every row; without shingles, sid and root are null."""
     ship(docs.sparkSession)
     sets = _set_table(docs, id, text, shingle)
-    postings = _postings(sets, _frequent(sets, frequent), least)
-    lists = stored(_shared_lists(postings, sets, least), "shingle-lists")
-    pairs = stored(_candidates(lists, least), "candidates")
-    first = _verified(pairs.where("near"), sets, least, "nearest")
+    classes = stored(sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("least_id"), F.min("node").alias("node")), "equal-sets")
+    nodes = _marked(sets.where("node IS NOT NULL").select("node", "n", "tokens", "sketch", "wide"), classes)  # equal sets of other tasks are gone
+    lists = stored(_shared_lists(_postings(nodes, _frequent(nodes, frequent), least), least), "shingle-lists")
+    long = lists.where("a IS NULL").drop("a", "b").join(nodes.select("node", "sketch"), "node")
+    found = lists.where("a IS NOT NULL").select("a", "b").union(_candidates(long, least))
+    pairs = stored(_not_far(found, nodes, least), "candidates")
+    nearest = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    first = _verified(nearest, nodes, least, "nearest")
     roots = stored(components(first, "nearest-stars"), "nearest-roots")
     # The second round: what short lists have already given, and long lists once more, between components only.
     root_of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-    apart = pairs.where("NOT near").join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    apart = pairs.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
     apart = apart.where(~(F.coalesce("a_root", "a") == F.coalesce("b_root", "b"))).select("a", "b")
-    long = lists.where(F.col("k") > SKIP).join(roots, "node", "left")
-    tried = pairs.where("near").select("a", "b")
-    rest = apart.union(_candidates(long, least).select("a", "b")).distinct().join(tried, ["a", "b"], "left_anti")
-    second = _verified(rest, sets, least, "rest")
+    longest = long.where(F.col("k") > SKIP).join(roots, "node", "left")
+    late = _not_far(_candidates(longest, least).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), nodes, least)
+    rest = apart.join(nearest, ["a", "b"], "left_anti").union(late.select("a", "b"))
+    second = _verified(rest, nodes, least, "rest")
     final = components(first.union(second), "all-stars")
-    # Nodes with equal sets have linked, so any of them tells the root of their class.
-    classes = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("least_id"), F.min("node").alias("node"))
     classes = classes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = classes.join(smallest, "root").select("sid", "root", "component_id")

@@ -310,3 +310,29 @@ def test_pairs_of_words_are_sent_as_lines(spark):
     assert got == {k: tuple(n) for k, n in want.items()}
     sent = toxicity._pair_lines(texts).agg(F.count("*"), F.max(F.size(F.split("pairs", "\n")))).first()
     assert sent[0] < len(want) and sent[1] > 1
+
+
+def test_only_pairs_that_tell_fetch_their_sets(spark, monkeypatch):
+    given = {}
+
+    def verified(pairs, sets, least, label, real=jaccard._verified):
+        given[label] = pairs.count()
+        return real(pairs, sets, least, label)
+
+    monkeypatch.setattr(jaccard, "_verified", verified)
+    text = lambda *spans: " ".join(f"{c}{i}" for c, n in spans for i in range(n))
+    equal = [(i, text(("e", 50))) for i in range(12)]  # in several tasks
+    partly = [(20, text(("p", 1_600), ("q", 250))), (21, text(("p", 1_600), ("r", 250)))]  # share 0.76
+    near = [(30 + i, text(("n", 400), (f"s{i}x", 1 + i))) for i in range(9)]
+    rows = equal + partly + near
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted((tuple(r) for r in jaccard.similar_classes(df, frequent=0).collect()), key=str) == brute_components(rows)
+    assert given == {"nearest": len(near) - 1, "rest": 0}
+
+
+def test_marked_rows_are_those_of_the_nodes(spark):
+    numbers = [(p << 33) + i for p in (0, 1, 3) for i in (1, 8, 9, 32_767, 32_768, 32_769, 70_000)]
+    table = spark.createDataFrame([(n, str(n)) for n in numbers] + [(None, "none")], "node long, tokens string")
+    chosen = spark.createDataFrame([(n,) for n in numbers[::2] * 2] + [(None,)], "node long")
+    assert sorted(r.node for r in jaccard._marked(table, chosen).collect()) == sorted(numbers[::2])
+    assert jaccard._marked(table, chosen.limit(0)).count() == 0
