@@ -12,6 +12,7 @@ from test_recursion import DEMAND, SHADOW, demand, from_columns  # noqa: F401  (
 
 from kerbside.catalog.jobs import lag_models
 from kerbside.catalog.tables import DAILY, Tables
+from kerbside.functions import rules
 from kerbside.operators.series import COUNT, HOUR, ZONE
 from kerbside.plans import backtest, demand_models, driver_clusters, model_store, money_models, recursion
 from kerbside.plans.demand_models import RoutedModel
@@ -199,3 +200,23 @@ def test_importance_fits_the_forest_only(spark):
     whole = money.fit().importance().collect()
     alone = money.fit("random_forest")
     assert list(alone.models) == ["random_forest"] and alone.importance().collect() == whole
+
+
+def test_money_rows_lie_by_leaves_and_errors_are_the_evaluators(spark):
+    trips = Tables(spark, SMALL).legacy.na.fill({"surcharge": 0.0})
+    table, features = money_models.model_table(trips, "tip_amount", "trip_id")
+    text = table._jdf.queryExecution().optimizedPlan().toString()
+    boxes = [str(box.max_lat) for box in rules.BOROUGH_BOXES.values()]
+    assert not any(limit in line for line in text.splitlines() if "Filter" in line for limit in boxes)  # too much code before
+    rows = table.count()
+    assert 0 < rows < trips.count() and rows == table.na.drop().count() and len(features) == 38
+    money = money_models.MoneyModels(trips, "tip_amount", "trip_id", trees=2, depth=2).fit()
+    assert money.train.count() + money.test.count() == rows
+    parts = {}
+    for part, leaf in money.train.select(F.spark_partition_id(), "leaf").collect():
+        parts.setdefault(part, []).append(leaf)
+    assert all(leaves == sorted(leaves) for leaves in parts.values()) and sum(len(set(p)) for p in parts.values()) < rows / 8
+    found = {r.model: r.rmse for r in money.comparison().collect()}
+    want = {name: money.rmse.evaluate(model.transform(money.test)) for name, model in money.models.items()}
+    want["baseline"] = money_models.mean_baseline_rmse(money.train, money.test).first().rmse
+    assert found == {name: pytest.approx(value) for name, value in want.items()} and len(found) == 5
